@@ -33,6 +33,18 @@ def run_to_table(
     return run(writer, checkpoint, timeout)
 
 
+def run_to_view(
+    spark: SparkSession, stream: DataFrame, view: str, target: str, checkpoint: str, timeout: float | None = None
+) -> int:
+    """Append a stream to a table and show the table under a view name; rows read.
+
+    Plays the part of a memory sink, without bringing the rows to the driver.
+    """
+    rows = run_to_table(stream, target, checkpoint, timeout=timeout)
+    spark.read.parquet(target).createOrReplaceTempView(view)
+    return rows
+
+
 def run_complete(stream: DataFrame, target: str, checkpoint: str, timeout: float | None = None) -> int:
     """Publish the full aggregate after each batch as its own folder ``batch=n``.
 
@@ -62,8 +74,8 @@ def run_batches(
     return run(stream.writeStream.foreachBatch(work), checkpoint, timeout)
 
 
-def stop_all(spark: SparkSession, timeout: float = 60) -> None:
-    """Stop every active query of the session and wait for the end of each."""
-    for query in spark.streams.active:
+def stop_all(spark: SparkSession, timeout: float = 60, queries: list[StreamingQuery] | None = None) -> None:
+    """Stop the given queries, or every active one of the session, and wait for their end."""
+    for query in spark.streams.active if queries is None else queries:
         query.stop()
         query.awaitTermination(timeout)

@@ -305,7 +305,6 @@ def explode_aggregate(spark, sf):
 
 
 @query("A20_counts_of_current_state", f"""WITH {CHANGE_FEED}, last AS (SELECT customer_id,
-      arg_max(state, (seq_us, seq_id)) FILTER (WHERE operation <> 'DELETE') AS any_state,
       arg_max(operation, (seq_us, seq_id)) AS op, arg_max(coalesce(state, '-'), (seq_us, seq_id)) AS state
       FROM change_feed WHERE operation IS NOT NULL GROUP BY customer_id)
     SELECT state, count(*) AS customer_count FROM last WHERE op <> 'DELETE' GROUP BY state""")
