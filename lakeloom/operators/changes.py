@@ -11,6 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakeloom.operators.joins import fits_broadcast
+
 
 def _col(expr: str | Column) -> Column:
     return F.expr(expr) if isinstance(expr, str) else expr
@@ -131,8 +133,12 @@ def _apply_matched(target, source, on, clauses) -> DataFrame:
 
 
 def _new_rows(target, source, on, clauses) -> DataFrame:
-    # distinct keys first: a hot target key then costs one row, not its whole group
-    known = target.select(*on).distinct().alias("t")
+    keys = target.select(*on)
+    if fits_broadcast(source):
+        # a small source: keep the target's matching keys only, without shuffling the target
+        keys = keys.join(source.select(*on), on, "left_semi")
+    # distinct keys: a hot target key then costs one row, not its whole group
+    known = keys.distinct().alias("t")
     same_key = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in on])
     unmatched = source.alias("s").join(known, same_key, "left_anti")
     clause = _choose([_holds(c.when) for c in clauses])

@@ -35,12 +35,16 @@ def with_z_order(df: DataFrame, columns: list[str], bits: int = 6, name: str = "
     return coded.withColumn(name, z_value(codes, bits + 1)).drop(*[f"_code_{c}" for c in columns])
 
 
-def optimize(df: DataFrame, path: str, columns: list[str], files: int) -> None:
-    """Rewrite a table as ``files`` files clustered on the columns.
+def optimize(
+    df: DataFrame, path: str, columns: list[str], files: int | None = None, rows_per_file: int = 5_000_000
+) -> None:
+    """Rewrite a table clustered on the columns, in ``files`` files or by rows per file.
 
     Range partitioning on the z-value and the scan position: rows with equal
     values can still be split over files, so a hot value does not fill one task.
     """
+    if files is None:
+        files = max(1, -(-df.count() // rows_per_file))
     placed = with_z_order(df, columns).withColumn("_pos", F.monotonically_increasing_id())
     (
         placed.repartitionByRange(files, "_z", "_pos")

@@ -29,22 +29,21 @@ def apply_rules(df: DataFrame, rules: list[Rule], observation: Observation | Non
     ``drop`` removes rows; ``warn`` only counts. With an observation, the counts
     of broken rules come out of the same job.
     """
-    flags = {f"_rule{i}": r.holds() for i, r in enumerate(rules)}
-    flagged = df.withColumns(flags)
-    for i, rule in enumerate(rules):
+    kept = F.lit(True)
+    for rule in rules:
+        if rule.action == "drop":
+            kept = kept & rule.holds()
+    # the failing rules come first in one expression, so no drop can hide a failure
+    passes = None
+    for rule in rules:
         if rule.action == "fail":
-            flagged = flagged.where(
-                F.when(F.col(f"_rule{i}"), F.lit(True)).otherwise(
-                    F.raise_error(F.lit(f"rule {rule.name} failed")).cast("boolean")
-                )
-            )
+            error = F.raise_error(F.lit(f"rule {rule.name} failed")).cast("boolean")
+            passes = F.when(~rule.holds(), error) if passes is None else passes.when(~rule.holds(), error)
     if observation is not None:
-        counts = [F.count_if(~F.col(f"_rule{i}")).alias(r.name) for i, r in enumerate(rules)]
-        flagged = flagged.observe(observation, F.count(F.lit(1)).alias("rows"), *counts)
-    for i, rule in enumerate(rules):
-        if rule.action == "drop":
-            flagged = flagged.where(f"_rule{i}")
-    return flagged.drop(*flags)
+        checked = df if passes is None else df.where(passes.otherwise(True))
+        counts = [F.count_if(~r.holds()).alias(r.name) for r in rules]
+        return checked.observe(observation, F.count(F.lit(1)).alias("rows"), *counts).where(kept)
+    return df.where(kept if passes is None else passes.otherwise(kept))
 
 
 def rule_report(df: DataFrame, rules: list[Rule], dataset: str, by: list[str] = ()) -> DataFrame:

@@ -13,7 +13,7 @@ from lakeloom.streaming.run import read_complete, run_complete, run_to_table
 def enriched(recordings: DataFrame, patients: DataFrame) -> DataFrame:
     """Recordings with the patient's name; a heart rate that is not positive is dropped."""
     a = recordings.withColumnRenamed("mrn", "mrn_a")
-    joined = join_streams(a, patients, F.col("mrn_a").cast("bigint") == F.col("mrn"), spread_on="reading_id")
+    joined = join_streams(a, patients, F.col("mrn_a").cast("bigint") == F.col("mrn"), spread_on=["reading_id"])
     typed = joined.select(
         F.col("device_id").cast("int"),
         F.col("mrn_a").cast("bigint").alias("mrn"),
@@ -35,7 +35,9 @@ def update(
 ) -> DataFrame:
     """Take in both feeds and publish the daily means."""
     # recordings come as text fields, but the time is read as a number
-    recording_schema = ingest_schema(spark, recording_feed, "json", hints={"time": "double"})
+    recording_schema = ingest_schema(
+        spark, recording_feed, "json", hints={"time": "double"}, location=f"{out}/_schema/recordings"
+    )
     recordings = file_stream(spark, recording_feed, "json", recording_schema)
     patients = file_stream(spark, patient_feed, "csv", "mrn bigint, name string", header=True)
     run_to_table(enriched(recordings, patients), f"{out}/enriched", f"{out}/_checkpoints/enriched", timeout=timeout)

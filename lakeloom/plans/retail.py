@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakeloom.operators.joins import salted_join
 from lakeloom.operators.quality import Rule, apply_rules
 from lakeloom.sources.ingest import file_stream
 from lakeloom.streaming.run import run_to_table
@@ -20,11 +21,8 @@ CUSTOMER_SCHEMA = (
 def cleaned(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with a number, joined with the customer's place (kept when there is none)."""
     f, c = orders.alias("f"), customers.alias("c")
-    placed = f.join(
-        c,
-        (F.col("c.customer_id") == F.col("f.customer_id")) & (F.col("c.customer_name") == F.col("f.customer_name")),
-        "left",
-    )
+    same = (F.col("c.customer_id") == F.col("f.customer_id")) & (F.col("c.customer_name") == F.col("f.customer_name"))
+    placed = salted_join(f, c, same, ["order_number", "order_datetime"], "left")
     at = F.timestamp_seconds(F.col("f.order_datetime").cast("bigint"))
     selected = placed.select(
         "f.customer_id", "f.customer_name", "f.number_of_line_items", at.alias("order_datetime"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakeloom.streaming.run import run_to_table
@@ -9,12 +12,21 @@ from lakeloom.streaming.run import run_to_table
 
 def ingest_schema(
     spark: SparkSession, path: str, fmt: str, infer: bool = False, hints: dict[str, str] | None = None,
-    **options,
+    location: str | None = None, **options,
 ) -> T.StructType:
     """Schema for an ingest: all strings, or inferred types, with hints for single columns.
 
-    Inference reads the files once; with ``infer`` off only the names are taken from it.
+    Inference reads the files there are; with ``infer`` off only the names are
+    taken from it. A ``location`` keeps the schema, so that later runs read nothing.
     """
+    if location:
+        try:
+            kept = spark.read.schema("schema string").json(location).first()
+            return T.StructType.fromJson(json.loads(kept["schema"]))
+        except AnalysisException:  # first run: no such folder yet
+            schema = ingest_schema(spark, path, fmt, infer, hints, **options)
+            spark.createDataFrame([(schema.json(),)], "schema string").write.mode("overwrite").json(location)
+            return schema
     found = spark.read.format(fmt).options(**options, inferSchema=infer).load(path).schema
     hints = hints or {}
     hinted = {c: T._parse_datatype_string(t) for c, t in hints.items()}

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
+
+from lakeloom.operators.joins import salted_join
 
 
 def join_streams(
-    facts: DataFrame, entities: DataFrame, on: Column, spread_on: str, salt: int = 8
+    facts: DataFrame, entities: DataFrame, on: Column, spread_on: list[str], salt: int = 8
 ) -> DataFrame:
     """Inner join of two streams; a hot key is spread over ``salt`` state partitions.
 
-    Fact rows are dealt by the hash of ``spread_on`` (a unique column); entity
-    rows, few per key, are repeated once per salt. Neither side is dropped for
-    age: put watermarks and a time condition on the inputs when the sources
-    guarantee a bound on lateness, else keep state in RocksDB, as
-    ``session.build_session`` sets it.
+    Neither side is dropped for age: put watermarks and a time condition on the
+    inputs when the sources guarantee a bound on lateness, else keep the state
+    in RocksDB, as ``session.build_session`` sets it.
     """
-    salted = facts.withColumn("_salt_f", F.pmod(F.xxhash64(spread_on), F.lit(salt)).cast("int"))
-    copies = entities.withColumn("_salt_e", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return salted.join(copies, on & (F.col("_salt_f") == F.col("_salt_e"))).drop("_salt_f", "_salt_e")
+    return salted_join(facts, entities, on, spread_on, "inner", salt)

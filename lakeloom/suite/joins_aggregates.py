@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeloom.operators.changes import apply_changes, insert_missing
+from lakeloom.operators.joins import outer_join_unique
 from lakeloom.operators.nesting import collect_distinct
 from lakeloom.suite.base import query, table
 from lakeloom.suite.standins import (
@@ -46,10 +47,8 @@ def full_outer(spark, sf):
         sales(spark, sf).where("status = 'F' AND priority = '1-URGENT'").select("email").distinct()
         .withColumn("converted", F.lit(True))
     )
-    return (
-        users(spark, sf).select("email", "user_id").join(buyers, "email", "outer")
-        .filter(F.col("email").isNotNull()).na.fill(False)
-    )
+    people = users(spark, sf).select("email", "user_id")
+    return outer_join_unique(people, buyers, "email").filter(F.col("email").isNotNull()).na.fill(False)
 
 
 @query("J04_left_outer", """SELECT o_orderkey, o_orderstatus, coalesce(n, 0) AS n_lines FROM orders

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from lakeloom.functions.nested import words
+from lakeloom.operators.joins import sort_rows
 from lakeloom.suite.base import query, table
 from lakeloom.suite.standins import (
     PLACES, SALES, USERS, USERS_DIRTY, places, sales, users, users_dirty,
@@ -318,14 +319,14 @@ def random_column(spark, sf):
 @query("O01_sort", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY c_mktsegment, c_acctbal DESC, c_custkey")
 def sort(spark, sf):
     customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    return customer.orderBy("c_mktsegment", F.desc("c_acctbal"), "c_custkey")
+    return sort_rows(customer, "c_mktsegment", F.desc("c_acctbal"), "c_custkey")
 
 
 @query("O02_sort_nulls_last", f"""WITH {USERS_DIRTY} SELECT user_id, email, balance FROM users_dirty
     ORDER BY email DESC NULLS LAST, user_id NULLS LAST, balance""")
 def sort_nulls_last(spark, sf):
-    return users_dirty(spark, sf).orderBy(
-        F.col("email").desc_nulls_last(), F.col("user_id").asc_nulls_last(), "balance"
+    return sort_rows(
+        users_dirty(spark, sf), F.col("email").desc_nulls_last(), F.col("user_id").asc_nulls_last(), "balance"
     )
 
 

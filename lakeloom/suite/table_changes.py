@@ -167,8 +167,9 @@ def clone(spark, sf):
 def optimize_table(spark, sf):
     lines = table(spark, sf, "lineitem")
     small, clustered = scratch_dir(spark, "small"), scratch_dir(spark, "clustered")
-    lines.repartition(24).write.parquet(small)
-    optimize(spark.read.parquet(small), clustered, ["l_partkey", "l_quantity"], files=8)
+    files = max(8, -(-lines.count() // 5_000_000))
+    lines.repartition(3 * files).write.parquet(small)
+    optimize(spark.read.parquet(small), clustered, ["l_partkey", "l_quantity"], files=files)
 
     def summary(path):
         spans = file_spans(spark.read.parquet(path), "l_partkey")
