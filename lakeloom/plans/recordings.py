@@ -13,7 +13,9 @@ from lakeloom.streaming.run import read_complete, run_complete, run_to_table
 def enriched(recordings: DataFrame, patients: DataFrame) -> DataFrame:
     """Recordings with the patient's name; a heart rate that is not positive is dropped."""
     a = recordings.withColumnRenamed("mrn", "mrn_a")
-    joined = join_streams(a, patients, F.col("mrn_a").cast("bigint") == F.col("mrn"), spread_on=["reading_id"])
+    same = F.col("mrn_a").cast("bigint") == F.col("mrn")
+    # a batch join leaves a hot patient to AQE, which a stream does not have
+    joined = join_streams(a, patients, same, ["reading_id"]) if a.isStreaming else a.join(patients, same)
     typed = joined.select(
         F.col("device_id").cast("int"),
         F.col("mrn_a").cast("bigint").alias("mrn"),

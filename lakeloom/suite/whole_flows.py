@@ -9,7 +9,7 @@ from lakeloom.session import scratch_dir
 from lakeloom.suite.base import query, table
 from lakeloom.suite.joins_aggregates import _COUNTS, EVENT_TYPES, TRANSACTIONS, transactions
 from lakeloom.suite.quality_rules import CLEAN_FEED
-from lakeloom.suite.standins import EMAIL, USERS, change_feed, sales_documents, users, sales, SALES
+from lakeloom.suite.standins import EMAIL, SALES, USERS, change_feed, sales, sales_documents, users
 from lakeloom.suite.streams import arrivals
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -153,8 +153,8 @@ _RETAIL = """SELECT strftime(o_orderdate, '%Y-%m-%d') AS order_date, n_name AS c
 
 
 def _city_sales(cleaned):
-    both = retail.sales_in("NATION_3", cleaned).union(retail.sales_in("NATION_7", cleaned))
-    return both.withColumns({
+    sales = retail.sales_in(["NATION_3", "NATION_7"], cleaned)
+    return sales.withColumns({
         "order_date": F.col("order_date").cast("string"), "sales": F.round("sales", 2),
         "quantity": F.col("quantity").cast("bigint"),
     })
