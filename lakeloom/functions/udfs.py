@@ -16,7 +16,7 @@ def describe_function(spark: SparkSession, name: str):
 
 
 @F.udf(T.StringType())
-def first_letter_row(text: str) -> str | None:
+def first_letter_row(text):
     """Row at a time; ``substring(text, 1, 1)`` does the same inside the JVM."""
     return text[:1] if text is not None else None
 

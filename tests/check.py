@@ -7,6 +7,8 @@ import time
 
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 import oracle  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from lakeloom.session import build_session  # noqa: E402
@@ -15,9 +17,12 @@ from lakeloom.session import build_session  # noqa: E402
 def main():
     pattern = sys.argv[1] if len(sys.argv) > 1 else ""
     sf_dir = f"/root/testdata/sf{sys.argv[2] if len(sys.argv) > 2 else '0.01'}"
-    spark = build_session("check", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "20g", "spark.ui.enabled": "false",
-    })
+    if os.environ.get("CHECK_PLAIN"):  # a session with Spark's own defaults
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session("check", "local[8]", **{
+            "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "20g", "spark.ui.enabled": "false",
+        })
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle.connect(sf_dir)
     sqls, bad = oracle_sql(), 0

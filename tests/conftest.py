@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "12g",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
@@ -30,15 +31,3 @@ def spark(tmp_path_factory):
 def rows():
     """Rows of a frame as a sorted list of tuples."""
     return lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-@pytest.fixture
-def plan_of(spark):
-    """The formatted physical plan as text."""
-    def text(df, mode="formatted"):
-        jvm = spark._jvm
-        return df._jdf.queryExecution().explainString(
-            getattr(jvm.org.apache.spark.sql.execution.ExplainMode, "fromString")(mode)
-        )
-
-    return text
