@@ -29,7 +29,7 @@ def pack_rows(
 
 
 def collect_distinct(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """``collect_set`` after the copies are gone, sorted.
+    """``collect_set`` after the copies are gone, sorted; for values from a bounded domain.
 
     Duplicates are dropped before rows of a key meet, so a key that holds much
     of the data costs no more than its number of distinct values.

@@ -33,7 +33,8 @@ def daily_mean(recordings: DataFrame) -> DataFrame:
 
 
 def update(
-    spark: SparkSession, recording_feed: str, patient_feed: str, out: str, timeout: float | None = None
+    spark: SparkSession, recording_feed: str, patient_feed: str, out: str, timeout: float | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Take in both feeds and publish the daily means."""
     # recordings come as text fields, but the time is read as a number
@@ -42,7 +43,10 @@ def update(
     )
     recordings = file_stream(spark, recording_feed, "json", recording_schema)
     patients = file_stream(spark, patient_feed, "csv", "mrn bigint, name string", header=True)
-    run_to_table(enriched(recordings, patients), f"{out}/enriched", f"{out}/_checkpoints/enriched", timeout=timeout)
+    run_to_table(
+        enriched(recordings, patients), f"{out}/enriched", f"{out}/_checkpoints/enriched",
+        timeout=timeout, state_partitions=state_partitions,
+    )
     stored = spark.readStream.schema(spark.read.parquet(f"{out}/enriched").schema).parquet(f"{out}/enriched")
-    run_complete(daily_mean(stored), f"{out}/daily", f"{out}/_checkpoints/daily", timeout)
+    run_complete(daily_mean(stored), f"{out}/daily", f"{out}/_checkpoints/daily", timeout, state_partitions)
     return read_complete(spark, f"{out}/daily")

@@ -23,6 +23,8 @@ def build_session(app: str = "lakeloom", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a hot join key even where that costs another shuffle later
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,

@@ -39,13 +39,18 @@ def ingest_schema(
 
 
 def file_stream(
-    spark: SparkSession, path: str, fmt: str, schema, max_files: int = 1000, **options
+    spark: SparkSession, path: str, fmt: str, schema, max_files: int = 1000, max_age: str = "3650d", **options
 ) -> DataFrame:
-    """A stream over the files of a folder; each file is read once per checkpoint."""
+    """A stream over the files of a folder; each file is read once per checkpoint.
+
+    Spark passes over files much older than the newest one (7 days by its own
+    default); the age here is wide, so that a late file is not lost.
+    """
     return (
         spark.readStream.format(fmt)
         .schema(schema)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", max_age)
         .options(**options)
         .load(path)
     )

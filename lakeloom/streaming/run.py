@@ -2,35 +2,62 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> int:
     """Wait for an available-now query; rows read. Past the timeout, stop it and fail."""
-    done = query.awaitTermination(timeout) if timeout else query.awaitTermination()
-    if timeout and not done:
-        query.stop()
-        raise TimeoutError(f"stream still running after {timeout} s")
-    return sum(p.numInputRows for p in query.recentProgress)
-
+    deadline = time.monotonic() + timeout if timeout else float("inf")
+    rows: dict[int, int] = {}
+    done = False
+    while not done:
+        done = query.awaitTermination(min(2.0, max(0.1, deadline - time.monotonic())))
+        # Spark keeps the last progress reports only, so they are gathered on the way
+        for progress in query.recentProgress:
+            rows[progress.batchId] = max(progress.numInputRows, rows.get(progress.batchId, 0))
+        if not done and time.monotonic() >= deadline:
+            query.stop()
+            raise TimeoutError(f"stream still running after {timeout} s")
+    return sum(rows.values())
+
+
+def run(
+    writer: DataStreamWriter, checkpoint: str, timeout: float | None = None, state_partitions: int | None = None
+) -> int:
+    """Process everything that has arrived since the checkpoint, then end.
 
-def run(writer: DataStreamWriter, checkpoint: str, timeout: float | None = None) -> int:
-    """Process everything that has arrived since the checkpoint, then end."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    The first run of a stateful query fixes its number of state partitions in
+    the checkpoint, and each one is a store opened in every batch.
+    ``state_partitions`` sets it; else it is the session's shuffle partitions.
+    """
+    due = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if state_partitions is None:
+        return finish(due.start(), timeout)
+    conf = SparkSession.active().conf
+    usual = conf.get(PARTITIONS)
+    conf.set(PARTITIONS, str(state_partitions))
+    try:
+        query = due.start()  # the query keeps a copy of the settings
+    finally:
+        conf.set(PARTITIONS, usual)
     return finish(query, timeout)
 
 
 def run_to_table(
-    stream: DataFrame, target: str, checkpoint: str, partition_by: list[str] = (), timeout: float | None = None
+    stream: DataFrame, target: str, checkpoint: str, partition_by: list[str] = (), timeout: float | None = None,
+    state_partitions: int | None = None,
 ) -> int:
     """Append a stream to a parquet table, each input row once; rows read."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", target)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return run(writer, checkpoint, timeout)
+    return run(writer, checkpoint, timeout, state_partitions)
 
 
 def run_to_view(
@@ -45,7 +72,9 @@ def run_to_view(
     return rows
 
 
-def run_complete(stream: DataFrame, target: str, checkpoint: str, timeout: float | None = None) -> int:
+def run_complete(
+    stream: DataFrame, target: str, checkpoint: str, timeout: float | None = None, state_partitions: int | None = None
+) -> int:
     """Publish the full aggregate after each batch as its own folder ``batch=n``.
 
     A repeated batch overwrites its own folder, so a retry leaves no duplicates.
@@ -53,7 +82,8 @@ def run_complete(stream: DataFrame, target: str, checkpoint: str, timeout: float
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    return run(stream.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, timeout)
+    writer = stream.writeStream.outputMode("complete").foreachBatch(publish)
+    return run(writer, checkpoint, timeout, state_partitions)
 
 
 def read_complete(spark: SparkSession, target: str) -> DataFrame:

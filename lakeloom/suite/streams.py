@@ -46,10 +46,11 @@ def arrivals(spark, df, first, step, fmt="json", **options):
 
 
 class Job:
-    """Fresh output and checkpoint folders of one job."""
+    """Fresh output and checkpoint folders of one job, and one state partition per core."""
 
     def __init__(self, spark, name):
         self.base = scratch_dir(spark, name)
+        self.states = spark.sparkContext.defaultParallelism
 
     def out(self, name="out"):
         return f"{self.base}/{name}"
@@ -168,7 +169,7 @@ def complete_mode(spark, sf):
         totals = file_stream(spark, folder, "json", EVENT_SCHEMA).groupBy("user_id").agg(
             F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
         )
-        run.run_complete(totals, job.out(), job.checkpoint())
+        run.run_complete(totals, job.out(), job.checkpoint(), state_partitions=job.states)
         return run.read_complete(spark, job.out())
 
     return arrivals(spark, event_rows(spark, sf), HALF, step)
@@ -213,7 +214,7 @@ def stream_window(spark, sf):
     def step(folder):
         events = timed(file_stream(spark, folder, "json", EVENT_SCHEMA))
         counts = events.groupBy("event_name", F.window("event_time", "1 minute").alias("w")).count()
-        run.run_complete(counts, job.out(), job.checkpoint())
+        run.run_complete(counts, job.out(), job.checkpoint(), state_partitions=job.states)
         return run.read_complete(spark, job.out())
 
     counts = arrivals(spark, event_rows(spark, sf), HALF, step)
@@ -239,7 +240,7 @@ def several_sinks(spark, sf):
     def step(folder):
         source = file_stream(spark, folder, "json", EVENT_SCHEMA)
         run.run_to_table(source, job.out("raw"), job.checkpoint("raw"))
-        run.run_complete(source.groupBy("event_name").agg(F.count("*").alias("n")), job.out("counts"), job.checkpoint("counts"))
+        run.run_complete(source.groupBy("event_name").agg(F.count("*").alias("n")), job.out("counts"), job.checkpoint("counts"), state_partitions=job.states)
         raw = spark.read.parquet(job.out("raw")).groupBy("event_name").agg(F.count("*").alias("n_raw"))
         return run.read_complete(spark, job.out("counts")).join(raw, "event_name")
 
@@ -306,7 +307,7 @@ def drop_null_rows(spark, sf):
 
     def step(folder):
         whole = file_stream(spark, folder, "json", EVENT_SCHEMA).dropna()
-        run.run_complete(whole.groupBy("event_name").agg(F.count("*").alias("n")), job.out(), job.checkpoint())
+        run.run_complete(whole.groupBy("event_name").agg(F.count("*").alias("n")), job.out(), job.checkpoint(), state_partitions=job.states)
         return run.read_complete(spark, job.out())
 
     return arrivals(spark, gappy, HALF, step)
@@ -319,7 +320,7 @@ def stream_daily_mean(spark, sf):
     def step(folder):
         events = timed(file_stream(spark, folder, "json", EVENT_SCHEMA))
         daily = events.groupBy("user_id", F.to_date("event_time").alias("day")).agg(F.avg("value").alias("mean_value"))
-        run.run_complete(daily, job.out(), job.checkpoint())
+        run.run_complete(daily, job.out(), job.checkpoint(), state_partitions=job.states)
         return run.read_complete(spark, job.out())
 
     means = arrivals(spark, event_rows(spark, sf), HALF, step)
@@ -381,7 +382,8 @@ def stream_stream(spark, sf):
         facts = file_stream(spark, folder, "json", EVENT_SCHEMA)
         entities = file_stream(spark, people, "json", "customer_id bigint, email string")
         joined = join_streams(facts, entities, F.col("user_id") == F.col("customer_id"), spread_on=["event_id"])
-        run.run_to_table(joined.select("event_id", "user_id", "email"), job.out(), job.checkpoint())
+        named = joined.select("event_id", "user_id", "email")
+        run.run_to_table(named, job.out(), job.checkpoint(), state_partitions=job.states)
         return spark.read.parquet(job.out())
 
     return arrivals(spark, event_rows(spark, sf), HALF, step)

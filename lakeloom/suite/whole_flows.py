@@ -200,7 +200,9 @@ def recordings_flow(spark, sf):
     table(spark, sf, "customer").selectExpr("c_custkey AS mrn", "c_name AS name").write.option("header", True).csv(patients)
     daily = arrivals(
         spark, recording_feed(spark, sf), "time < 1705363200",
-        lambda feed: recordings.update(spark, feed, patients, out),
+        lambda feed: recordings.update(
+            spark, feed, patients, out, state_partitions=spark.sparkContext.defaultParallelism
+        ),
     )
     return daily.withColumns({"date": F.col("date").cast("string"), "avg_heartrate": F.round("avg_heartrate", 4)})
 

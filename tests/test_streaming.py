@@ -1,6 +1,8 @@
 """Streams on small literal feeds: only new files, order, retries, failures."""
 
 import json
+import os
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -44,6 +46,33 @@ def test_load_new_files_is_idempotent(spark, feed, tmp_path, rows):
     assert rows(spark.read.parquet(out)) == [(1,), (2,), (3,)]
 
 
+def test_a_late_file_with_an_old_date_is_read(spark, feed, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    feed.add({"a": 1})
+    load_new_files(spark, str(feed), "json", "a int", out, checkpoint)
+    feed.add({"a": 2})
+    month_ago = time.time() - 30 * 86_400
+    os.utime(feed.folder / "002.json", (month_ago, month_ago))
+    assert load_new_files(spark, str(feed), "json", "a int", out, checkpoint) == 1
+
+
+def test_rows_are_counted_past_the_kept_reports(spark, feed, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for i in range(5):
+            feed.add({"a": i})
+        stream = file_stream(spark, str(feed), "json", "a int", max_files=1)
+
+        def slow(df, n):
+            df.count()
+            time.sleep(1.5)
+
+        assert run.run_batches(stream, slow, str(tmp_path / "cp")) == 5
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
 def test_one_file_per_trigger_makes_one_batch_per_file(spark, feed, tmp_path):
     for i in range(3):
         feed.add({"a": i})
@@ -129,8 +158,6 @@ def test_failed_rule_commits_nothing(spark, feed, tmp_path):
 
 
 def test_a_stream_over_its_time_is_stopped(spark, feed, tmp_path):
-    import time
-
     feed.add({"a": 1})
     with pytest.raises(TimeoutError):
         run.run_batches(
