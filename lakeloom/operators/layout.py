@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -18,21 +17,30 @@ def z_value(codes: list[Column], bits: int) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
+def range_code(value: Column, cuts: list[float]) -> Column:
+    """Number of sorted cut points at or below a value, found by halving."""
+    def within(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(value < cuts[mid], within(low, mid)).otherwise(within(mid + 1, high))
+
+    return F.coalesce(F.when(value.isNotNull(), within(0, len(cuts))), F.lit(0)).cast("bigint")
+
+
 def with_z_order(df: DataFrame, columns: list[str], bits: int = 6, name: str = "_z") -> DataFrame:
-    """Add the z-value of numeric columns.
+    """Add the z-value of numeric columns; null counts as the lowest value.
 
     Each column is cut at approximate quantiles into ``2**bits`` ranges, so the
-    codes are evenly filled whatever the distribution; only the cut points
-    (at most 63 per column) reach the driver.
+    codes are evenly filled whatever the distribution. The quantiles are one
+    partial aggregate; only the cut points (63 per column) reach the driver.
     """
     steps = 2**bits
-    cuts = df.approxQuantile(columns, [i / steps for i in range(1, steps)], 1.0 / (4 * steps))
-    coded = df
-    for c, points in zip(columns, cuts):
-        splits = [float("-inf"), *sorted(set(points)), float("inf")]
-        coded = Bucketizer(splits=splits, inputCol=c, outputCol=f"_code_{c}", handleInvalid="keep").transform(coded)
-    codes = [F.coalesce(F.col(f"_code_{c}"), F.lit(0)).cast("bigint") for c in columns]
-    return coded.withColumn(name, z_value(codes, bits + 1)).drop(*[f"_code_{c}" for c in columns])
+    shares = [i / steps for i in range(1, steps)]
+    found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 4 * steps).alias(c) for c in columns]).first()
+    codes = {f"_code_{c}": range_code(F.col(c).cast("double"), sorted(set(found[c] or []))) for c in columns}
+    coded = df.withColumns(codes)  # each code is a column of its own: its bits are taken from one value
+    return coded.withColumn(name, z_value([F.col(c) for c in codes], bits)).drop(*codes)
 
 
 def optimize(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.changes import latest_by
 from lakeloom.operators.joins import outer_join_unique, salted_join, sort_rows
-from lakeloom.operators.layout import file_spans, optimize, z_value
+from lakeloom.operators.layout import file_spans, optimize, range_code, with_z_order, z_value
 from lakeloom.operators.nesting import collect_distinct, pack_rows
 
 
@@ -96,3 +96,16 @@ def test_z_value_interleaves_bits(spark):
     df = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (1, 1), (2, 3)], "a bigint, b bigint")
     got = [r[0] for r in df.select(z_value([F.col("a"), F.col("b")], 2)).collect()]
     assert got == [0, 1, 2, 3, 0b1110]
+
+
+def test_range_code_counts_the_cuts_below(spark):
+    cuts = [1.0, 2.0, 2.5, 9.0, 10.0]
+    values = [None, 0.0, 1.0, 1.5, 2.0, 2.5, 8.0, 9.0, 10.0, 99.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", range_code(F.col("x"), cuts).alias("c"))
+    for r in df.collect():
+        assert r.c == (0 if r.x is None else sum(cut <= r.x for cut in cuts))
+
+
+def test_z_order_without_any_value(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
+    assert with_z_order(df, ["a", "b"]).count() == 2
