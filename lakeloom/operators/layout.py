@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,8 +29,33 @@ def range_code(value: Column, cuts: list[float]) -> Column:
     return F.coalesce(F.when(value.isNotNull(), within(0, len(cuts))), F.lit(0)).cast("bigint")
 
 
+def ordered_numbers(df: DataFrame, columns: list[str]) -> dict[str, Column]:
+    """Each column as a number in the column's own order.
+
+    Text counts by the six bytes after the prefix all values share; that prefix
+    is the one of the least and the greatest value.
+    """
+    types = dict(df.dtypes)
+    texts = [c for c in columns if types[c] == "string"]
+    ends = df.agg(*[f(c).alias(f"{n}_{c}") for c in texts for n, f in (("low", F.min), ("high", F.max))]).first() \
+        if texts else None
+
+    def number(c: str) -> Column:
+        if types[c] == "string":
+            shared = os.path.commonprefix([ends[f"low_{c}"] or "", ends[f"high_{c}"] or ""])
+            digits = F.substring(F.hex(c), 2 * len(shared.encode()) + 1, 12)
+            return F.conv(F.rpad(digits, 12, "0"), 16, 10).cast("double")
+        if types[c] in ("date", "timestamp", "timestamp_ntz"):
+            return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+        if types[c] == "boolean":
+            return F.col(c).cast("int").cast("double")
+        return F.col(c).cast("double")
+
+    return {c: number(c) for c in columns}
+
+
 def with_z_order(df: DataFrame, columns: list[str], bits: int = 6, name: str = "_z") -> DataFrame:
-    """Add the z-value of numeric columns; null counts as the lowest value.
+    """Add the z-value of number, time or text columns; null counts as the lowest value.
 
     Each column is cut at approximate quantiles into ``2**bits`` ranges, so the
     codes are evenly filled whatever the distribution. The quantiles are one
@@ -37,10 +63,17 @@ def with_z_order(df: DataFrame, columns: list[str], bits: int = 6, name: str = "
     """
     steps = 2**bits
     shares = [i / steps for i in range(1, steps)]
-    found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 4 * steps).alias(c) for c in columns]).first()
-    codes = {f"_code_{c}": range_code(F.col(c).cast("double"), sorted(set(found[c] or []))) for c in columns}
-    coded = df.withColumns(codes)  # each code is a column of its own: its bits are taken from one value
-    return coded.withColumn(name, z_value([F.col(c) for c in codes], bits)).drop(*codes)
+    numbers = ordered_numbers(df, columns)
+    found = df.agg(*[F.percentile_approx(n, shares, 4 * steps).alias(c) for c, n in numbers.items()]).first()
+    coded = df.withColumns({f"_n_{c}": n for c, n in numbers.items()})
+    # a column of few values gets few cuts; its codes are drawn apart to weigh as much in the z-value
+    for c in columns:
+        cuts = sorted(set(found[c] or []))
+        code = range_code(F.col(f"_n_{c}"), cuts)
+        coded = coded.withColumn(f"_code_{c}", F.floor(code * steps / (len(cuts) + 1)))
+    # each code is a column of its own: its bits are taken from one value
+    z = z_value([F.col(f"_code_{c}") for c in columns], bits)
+    return coded.withColumn(name, z).drop(*[f"{p}{c}" for c in columns for p in ("_n_", "_code_")])
 
 
 def optimize(

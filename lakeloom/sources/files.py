@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 def query_files(spark: SparkSession, fmt: str, path: str) -> DataFrame:
     """``SELECT * FROM fmt.`path` `` with the format's default options."""
-    return spark.sql(f"SELECT * FROM {fmt}.`{path}`")
+    quoted = path.replace("`", "``")
+    return spark.sql(f"SELECT * FROM {fmt}.`{quoted}`")
 
 
 def file_listing(spark: SparkSession, path: str, content: bool = False) -> DataFrame:

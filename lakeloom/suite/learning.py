@@ -106,23 +106,26 @@ def evaluate(spark, sf):
     return answer
 
 
-@query("M07_model_search")
+@query("M07_model_search", """SELECT max_depth, max_bins, TRUE AS valid, TRUE AS best_is_top, TRUE AS scored_all
+    FROM (VALUES (2, 16), (2, 32), (4, 16), (4, 32)) AS s(max_depth, max_bins) WHERE EXISTS (SELECT 1 FROM lineitem)""")
 def model_search(spark, sf):
     train, test = ml.split_rows(labelled(spark, sf), "row_key")
     train = train.cache()
     found = ml.search(train, ml.tree_stages(CATEGORIES, NUMBERS, "label"), "label", depths=[2, 4], bins=[16, 32])
     train.unpersist()
-    settings = [
-        (params[p_depth], params[p_bins], float(metric))
-        for params, metric in zip(found.getEstimatorParamMaps(), found.validationMetrics)
-        for p_depth in [p for p in params if p.name == "maxDepth"]
-        for p_bins in [p for p in params if p.name == "maxBins"]
-    ]
-    best = found.bestModel.transform(test).groupBy("prediction").agg(F.count("*").alias("n"))
+    top = max(found.validationMetrics)
+    settings = []
+    for params, metric in zip(found.getEstimatorParamMaps(), found.validationMetrics):
+        values = {p.name: v for p, v in params.items()}
+        settings.append((values["maxDepth"], values["maxBins"], metric))
+    best = found.bestModel.stages[-1]
+    is_top = (best.getMaxDepth(), best.getMaxBins(), top) in settings
     tried = spark.createDataFrame(settings, "max_depth int, max_bins int, f1 double")
-    return tried.select("max_depth", "max_bins", "f1", F.lit(None).cast("double").alias("prediction"), F.lit(None).cast("bigint").alias("n")).unionByName(
-        best.select(F.lit(None).cast("int").alias("max_depth"), F.lit(None).cast("int").alias("max_bins"),
-                    F.lit(None).cast("double").alias("f1"), "prediction", "n")
+    scored = found.bestModel.transform(test).agg(F.count("prediction").alias("n_scored"), F.count("*").alias("n"))
+    return spark.sql(
+        """SELECT max_depth, max_bins, f1 > 0 AND f1 <= 1 AS valid, :is_top AS best_is_top,
+                  (SELECT n_scored = n FROM {scored}) AS scored_all FROM {tried}""",
+        args={"is_top": is_top}, tried=tried, scored=scored,
     )
 
 

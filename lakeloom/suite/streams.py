@@ -294,7 +294,7 @@ def stream_then_compact(spark, sf):
 
     arrivals(spark, event_rows(spark, sf), HALF, step)
     streamed = spark.read.parquet(job.out())
-    optimize(streamed, job.out("compacted"), ["time_us", "value"])
+    optimize(streamed, job.out("compacted"), ["event_name", "time_us"])
     compacted = spark.read.parquet(job.out("compacted"))
     fewer = file_spans(compacted, "value").count() < file_spans(streamed, "value").count()
     return compacted.groupBy("event_name").agg(F.count("*").alias("n"), F.lit(fewer).alias("fewer_files"))

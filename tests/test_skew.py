@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.changes import latest_by
 from lakeloom.operators.joins import outer_join_unique, salted_join, sort_rows
-from lakeloom.operators.layout import file_spans, optimize, range_code, with_z_order, z_value
+from lakeloom.operators.layout import (
+    file_spans, optimize, ordered_numbers, range_code, with_z_order, z_value,
+)
 from lakeloom.operators.nesting import collect_distinct, pack_rows
 
 
@@ -109,3 +111,24 @@ def test_range_code_counts_the_cuts_below(spark):
 def test_z_order_without_any_value(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
     assert with_z_order(df, ["a", "b"]).count() == 2
+
+
+@pytest.mark.parametrize("values", [
+    ["Customer#01", "Customer#02", "Customer#1", "Customer#10", "Customer#é"], ["", "a", "ab", "b"], ["same", "same"],
+])
+def test_text_counts_in_its_own_order(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    got = [r[0] for r in df.select(ordered_numbers(df, ["t"])["t"]).collect()]
+    assert got == sorted(got) and len(set(got)) == len(set(values))
+
+
+def test_z_order_on_text_and_time(spark, tmp_path):
+    df = spark.range(4000).select(
+        F.concat(F.lit("name"), F.col("id") % 4).alias("event_name"),
+        F.timestamp_seconds(F.lit(1540601000) + F.col("id")).alias("event_time"),
+    )
+    out = str(tmp_path / "events")
+    optimize(df, out, ["event_name", "event_time"], files=4)
+    spans = file_spans(spark.read.parquet(out), "event_name")
+    assert spark.read.parquet(out).count() == 4000
+    assert spans.where("low = 'name0' AND high = 'name3'").count() < 4
