@@ -180,12 +180,10 @@ def filter_items(spark, sf):
     )
 
 
-@query("C06_transform", """SELECT order_id, array_to_string(list_transform(list_sort(list(CAST(item_id AS VARCHAR))),
-    lambda i: 'P' || i), ',') AS codes FROM (SELECT l_orderkey AS order_id, l_partkey AS item_id FROM lineitem) GROUP BY order_id""")
+@query("C06_transform", f"""WITH {ITEMS} SELECT 'P' || CAST(item_id AS VARCHAR) AS code, count(*) AS n FROM items GROUP BY 1""")
 def transform(spark, sf):
-    ids = F.array_sort(F.col("items.item_id").cast("array<string>"))
-    codes = F.transform(ids, lambda i: F.concat(F.lit("P"), i))
-    return sales_documents(spark, sf).select("order_id", F.array_join(codes, ",").alias("codes"))
+    codes = F.transform("items.item_id", lambda i: F.concat(F.lit("P"), i.cast("string")))
+    return sales_documents(spark, sf).select(F.explode(codes).alias("code")).groupBy("code").agg(F.count("*").alias("n"))
 
 
 @query("C07_exists", """SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 200)) > 0 AS has_long_line,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakeloom.operators.changes import apply_changes, insert_missing
 from lakeloom.operators.joins import outer_join_unique
 from lakeloom.operators.nesting import collect_distinct
-from lakeloom.suite.base import query, table
+from lakeloom.suite.base import query, settled, table
 from lakeloom.suite.standins import (
     CHANGE_FEED, ITEMS, PLACES, SALES, USERS, change_feed, places, sales, sales_documents, users,
 )
@@ -103,33 +103,35 @@ def group_count(spark, sf):
     return table(spark, sf, "events").groupBy("event_type").count()
 
 
-@query("A02_group_nested_key", f"""WITH {PLACES} SELECT state, round(avg(balance), 4) AS avg_balance,
+@query("A02_group_nested_key", f"""WITH {PLACES} SELECT state, round(avg(balance) + 1e-9, 4) AS avg_balance,
     round(sum(balance), 2) AS sum_balance, CAST(sum(user_id) AS BIGINT) AS sum_id FROM places GROUP BY state""")
 def group_nested_key(spark, sf):
     grouped = places(spark, sf).groupBy("geo.state")
     sums = grouped.agg(F.avg("balance"), F.sum("balance"), F.sum("user_id")).toDF("state", "a", "s", "i")
-    return sums.select("state", F.round("a", 4).alias("avg_balance"), F.round("s", 2).alias("sum_balance"),
+    return sums.select("state", settled(F.col("a")).alias("avg_balance"), F.round("s", 2).alias("sum_balance"),
                        F.col("i").alias("sum_id"))
 
 
 @query("A03_agg_aliases", """SELECT l_returnflag, l_linestatus, round(sum(l_extendedprice), 2) AS gross,
-    round(sum(l_extendedprice * (1 - l_discount)), 4) AS net, round(avg(l_quantity), 4) AS mean_quantity,
+    CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS DOUBLE) AS net, round(avg(l_quantity) + 1e-9, 4) AS mean_quantity,
     count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def agg_aliases(spark, sf):
+    # exact decimals: the sum does not depend on the order of the rows
+    net = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18, 4)")
     return table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         F.round(F.sum("l_extendedprice"), 2).alias("gross"),
-        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("net"),
-        F.round(F.avg("l_quantity"), 4).alias("mean_quantity"),
+        F.sum(net).cast("double").alias("net"),
+        settled(F.avg("l_quantity")).alias("mean_quantity"),
         F.count("*").alias("n"),
     )
 
 
-@query("A04_min_max_mean", """SELECT event_type, min(value) AS low, max(value) AS high, round(avg(value), 4) AS mean_value,
+@query("A04_min_max_mean", """SELECT event_type, min(value) AS low, max(value) AS high, round(avg(value) + 1e-9, 4) AS mean_value,
     (SELECT max(value) FROM events) AS top FROM events GROUP BY event_type""")
 def min_max_mean(spark, sf):
     events = table(spark, sf, "events")
     per_type = events.groupBy("event_type").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.round(F.mean("value"), 4).alias("mean_value")
+        F.min("value").alias("low"), F.max("value").alias("high"), settled(F.mean("value")).alias("mean_value")
     )
     return spark.sql(
         "SELECT *, (SELECT max(high) FROM {per_type}) AS top FROM {per_type}", per_type=per_type
@@ -154,15 +156,21 @@ def distinct_tuple(spark, sf):
     )
 
 
-@query("A07_collect", f"""WITH {ITEMS}, lists AS (SELECT order_id, list_sort(list(item_id)) AS l FROM items GROUP BY order_id),
-    kinds AS (SELECT order_id, list_sort(list(DISTINCT curr)) AS s FROM items GROUP BY order_id)
-    SELECT order_id, array_to_string(l, ',') AS item_list, array_to_string(s, ',') AS curr_set FROM lists JOIN kinds USING (order_id)""")
+@query("A07_collect", f"""WITH {ITEMS}, kinds AS (SELECT order_id, list_sort(list(DISTINCT curr)) AS s FROM items GROUP BY order_id),
+    lists AS (SELECT order_id, list(item_id) AS l FROM items GROUP BY order_id)
+    SELECT order_id, len(l) AS n_items, CAST(list_sum(l) AS BIGINT) AS id_sum, array_to_string(s, ',') AS curr_set
+    FROM lists JOIN kinds USING (order_id)""")
 def collect(spark, sf):
-    return sales_documents(spark, sf).select(
-        "order_id",
-        F.array_join(F.col("items.item_id").cast("array<string>"), ",").alias("item_list"),
-        F.array_join(F.array_sort(F.array_distinct("items.curr")), ",").alias("curr_set"),
+    # lists come in packs of bounded length, so what is asked of them is asked pack by pack
+    documents = sales_documents(spark, sf).select("order_id", F.col("items.item_id").alias("ids"))
+    lists = documents.groupBy("order_id").agg(
+        F.sum(F.size("ids")).alias("n_items"),
+        F.sum(F.aggregate("ids", F.lit(0).cast("bigint"), lambda total, i: total + i)).alias("id_sum"),
     )
+    currency = F.when(F.col("l_linestatus") == "O", "USD").otherwise("EUR")
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_id"), currency.alias("curr"))
+    sets = collect_distinct(lines, ["order_id"], "curr", "curr_set")
+    return lists.join(sets.withColumn("curr_set", F.array_join("curr_set", ",")), "order_id")
 
 
 @query("A08_flattened_set", """SELECT o_custkey, array_to_string(list_sort(list(DISTINCT p_type)), ',') AS types
@@ -242,10 +250,10 @@ def group_by_date(spark, sf):
 
 
 @query("A14_group_by_day", """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, user_id,
-    round(avg(value), 4) AS avg_value FROM events GROUP BY 1, 2""")
+    round(avg(value) + 1e-9, 4) AS avg_value FROM events GROUP BY 1, 2""")
 def group_by_day(spark, sf):
     return spark.sql(
-        """SELECT date_format(date_trunc('DD', ts), 'yyyy-MM-dd') AS day, user_id, round(avg(value), 4) AS avg_value
+        """SELECT date_format(date_trunc('DD', ts), 'yyyy-MM-dd') AS day, user_id, round(avg(value) + 1e-9, 4) AS avg_value
            FROM {events} GROUP BY date_trunc('DD', ts), user_id""",
         events=table(spark, sf, "events"),
     )
@@ -253,14 +261,14 @@ def group_by_day(spark, sf):
 
 @query("A15_user_summary", """SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen,
     strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen, count(*) AS total_records,
-    round(avg(value), 4) AS total_avg FROM events GROUP BY user_id""")
+    round(avg(value) + 1e-9, 4) AS total_avg FROM events GROUP BY user_id""")
 def user_summary(spark, sf):
     seen = "yyyy-MM-dd HH:mm:ss"
     return table(spark, sf, "events").groupBy("user_id").agg(
         F.date_format(F.min("ts"), seen).alias("first_seen"),
         F.date_format(F.max("ts"), seen).alias("last_seen"),
         F.count("*").alias("total_records"),
-        F.round(F.avg("value"), 4).alias("total_avg"),
+        settled(F.avg("value")).alias("total_avg"),
     )
 
 
@@ -326,10 +334,10 @@ def tumbling_count(spark, sf):
 
 
 @query("W02_tumbling_mean", """SELECT user_id, strftime(time_bucket(INTERVAL '3 minutes', ts) + INTERVAL '3 minutes', '%Y-%m-%d %H:%M:%S') AS end_time,
-    round(avg(value), 4) AS avg_ping FROM events GROUP BY 1, 2""")
+    round(avg(value) + 1e-9, 4) AS avg_ping FROM events GROUP BY 1, 2""")
 def tumbling_mean(spark, sf):
     return spark.sql(
-        """SELECT user_id, date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS end_time, round(mean(value), 4) AS avg_ping
+        """SELECT user_id, date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS end_time, round(mean(value) + 1e-9, 4) AS avg_ping
            FROM {events} GROUP BY user_id, window(ts, '3 minutes')""",
         events=table(spark, sf, "events"),
     )

@@ -150,11 +150,11 @@ def pattern(spark, sf):
     )
 
 
-@query("P16_parameter", """SELECT l_returnflag, count(*) AS n, round(avg(l_quantity), 4) AS mean_quantity
+@query("P16_parameter", """SELECT l_returnflag, count(*) AS n, round(avg(l_quantity) + 1e-9, 4) AS mean_quantity
     FROM lineitem WHERE l_linestatus = 'O' AND l_shipdate >= TIMESTAMP '1997-01-01' GROUP BY l_returnflag""")
 def parameter(spark, sf):
     return spark.sql(
-        """SELECT l_returnflag, count(*) AS n, round(avg(l_quantity), 4) AS mean_quantity FROM {lines}
+        """SELECT l_returnflag, count(*) AS n, round(avg(l_quantity) + 1e-9, 4) AS mean_quantity FROM {lines}
            WHERE l_linestatus = :status AND l_shipdate >= to_timestamp_ntz(:since) GROUP BY l_returnflag""",
         args={"status": "O", "since": "1997-01-01"},
         lines=table(spark, sf, "lineitem"),
@@ -424,13 +424,13 @@ def pandas_assign(spark, sf):
     return frame.to_spark(index_col="event_id")
 
 
-@query("B02_pandas_sql", "SELECT event_type, round(avg(value), 4) AS mean_value FROM events GROUP BY event_type")
+@query("B02_pandas_sql", "SELECT event_type, round(avg(value) + 1e-9, 4) AS mean_value FROM events GROUP BY event_type")
 def pandas_sql(spark, sf):
     import pyspark.pandas as ps
 
     frame = table(spark, sf, "events").select("event_id", "event_type", "value").pandas_api(index_col="event_id")
     means = ps.sql(
-        "SELECT event_type, round(avg(value), 4) AS mean_value FROM {events} GROUP BY event_type",
+        "SELECT event_type, round(avg(value) + 1e-9, 4) AS mean_value FROM {events} GROUP BY event_type",
         index_col="event_type", events=frame,
     )
     return means.to_spark(index_col="event_type")

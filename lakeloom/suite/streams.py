@@ -14,7 +14,7 @@ from lakeloom.sources.ingest import file_stream, ingest_schema, load_new_files,
 from lakeloom.streaming import run
 from lakeloom.streaming.changes import apply_changes_stream, compact_log, current_state
 from lakeloom.streaming.joins import join_streams
-from lakeloom.suite.base import query, table
+from lakeloom.suite.base import query, settled, table
 from lakeloom.suite.standins import CHANGE_FEED, EMAIL, change_feed, users
 from lakeloom.suite.table_changes import STATE
 
@@ -313,7 +313,7 @@ def drop_null_rows(spark, sf):
     return arrivals(spark, gappy, HALF, step)
 
 
-@query("W09_stream_daily_mean", """SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, round(avg(value), 4) AS mean_value FROM events GROUP BY 1, 2""")
+@query("W09_stream_daily_mean", """SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, round(avg(value) + 1e-9, 4) AS mean_value FROM events GROUP BY 1, 2""")
 def stream_daily_mean(spark, sf):
     job = Job(spark, "daily")
 
@@ -324,7 +324,7 @@ def stream_daily_mean(spark, sf):
         return run.read_complete(spark, job.out())
 
     means = arrivals(spark, event_rows(spark, sf), HALF, step)
-    return means.select("user_id", F.col("day").cast("string").alias("day"), F.round("mean_value", 4).alias("mean_value"))
+    return means.select("user_id", F.col("day").cast("string").alias("day"), settled(F.col("mean_value")).alias("mean_value"))
 
 
 CDC_SCHEMA = "customer_id bigint, name string, email string, state string, operation string, seq_us bigint, seq_id bigint"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.plans import customers, event_windows, orders, recordings, retail, shop, status
 from lakeloom.session import scratch_dir
-from lakeloom.suite.base import query, table
+from lakeloom.suite.base import query, settled, table
 from lakeloom.suite.joins_aggregates import _COUNTS, EVENT_TYPES, TRANSACTIONS, transactions
 from lakeloom.suite.quality_rules import CLEAN_FEED
 from lakeloom.suite.standins import EMAIL, SALES, USERS, change_feed, sales, sales_documents, users
@@ -190,8 +190,8 @@ def recording_feed(spark, sf):
     )
 
 
-_RECORDINGS = """SELECT user_id AS mrn, c_name AS name, strftime(ts, '%Y-%m-%d') AS date, round(avg(value), 4) AS avg_heartrate
-    FROM events JOIN customer ON user_id = c_custkey WHERE event_type <> 'error' GROUP BY 1, 2, 3"""
+_RECORDINGS = """SELECT user_id AS mrn, c_name AS name, strftime(ts, '%Y-%m-%d') AS date, round(avg(value) + 1e-9, 4) AS avg_heartrate
+    FROM events JOIN customer ON user_id = c_custkey WHERE event_type <> 'error' AND value > 0 GROUP BY 1, 2, 3"""
 
 
 @query("L05_recordings", _RECORDINGS)
@@ -204,14 +204,14 @@ def recordings_flow(spark, sf):
             spark, feed, patients, out, state_partitions=spark.sparkContext.defaultParallelism
         ),
     )
-    return daily.withColumns({"date": F.col("date").cast("string"), "avg_heartrate": F.round("avg_heartrate", 4)})
+    return daily.withColumns({"date": F.col("date").cast("string"), "avg_heartrate": settled(F.col("avg_heartrate"))})
 
 
 @query("L05_recordings_batch", _RECORDINGS)
 def recordings_batch(spark, sf):
     patients = table(spark, sf, "customer").selectExpr("c_custkey AS mrn", "c_name AS name")
     daily = recordings.daily_mean(recordings.enriched(recording_feed(spark, sf), patients))
-    return daily.withColumns({"date": F.col("date").cast("string"), "avg_heartrate": F.round("avg_heartrate", 4)})
+    return daily.withColumns({"date": F.col("date").cast("string"), "avg_heartrate": settled(F.col("avg_heartrate"))})
 
 
 # -- event windows ------------------------------------------------------------------
@@ -337,16 +337,16 @@ def deliveries(spark, sf):
 
 
 @query("L11_ping_report", """WITH means AS (SELECT user_id, time_bucket(INTERVAL '3 minutes', ts) AS w, avg(value) AS m FROM events GROUP BY 1, 2),
-    per_user AS (SELECT user_id, count(*) AS windows, round(max(m), 4) AS top_mean FROM means GROUP BY 1)
+    per_user AS (SELECT user_id, count(*) AS windows, round(max(m) + 1e-9, 4) AS top_mean FROM means GROUP BY 1)
     SELECT user_id, count(*) AS total_records, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen,
-    strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen, round(avg(value), 4) AS total_avg_ping, any_value(windows) AS windows, any_value(top_mean) AS top_mean
+    strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen, round(avg(value) + 1e-9, 4) AS total_avg_ping, any_value(windows) AS windows, any_value(top_mean) AS top_mean
     FROM events JOIN per_user USING (user_id) GROUP BY user_id""")
 def ping_report(spark, sf):
     pings = table(spark, sf, "events").select("user_id", F.col("value").alias("ping"), F.col("ts").alias("time"))
     counts, means, summary = shop.ping_report(pings)
-    per_user = means.groupBy("user_id").agg(F.count("*").alias("windows"), F.round(F.max("avg_ping"), 4).alias("top_mean"))
+    per_user = means.groupBy("user_id").agg(F.count("*").alias("windows"), settled(F.max("avg_ping")).alias("top_mean"))
     return counts.join(summary.drop("total_records"), "user_id").join(per_user, "user_id").select(
         "user_id", "total_records", F.date_format("first_seen", STAMP).alias("first_seen"),
-        F.date_format("last_seen", STAMP).alias("last_seen"), F.round("total_avg_ping", 4).alias("total_avg_ping"),
+        F.date_format("last_seen", STAMP).alias("last_seen"), settled(F.col("total_avg_ping")).alias("total_avg_ping"),
         "windows", "top_mean",
     )

@@ -1,4 +1,4 @@
-"""Run queries by key pattern against their SQL: ``python tests/check.py [pattern] [sf]``."""
+"""Run queries by key pattern against their SQL: ``python tests/check.py [pattern] [sf or folder]``."""
 
 import os
 import re
@@ -16,7 +16,9 @@ from lakeloom.session import build_session  # noqa: E402
 
 def main():
     pattern = sys.argv[1] if len(sys.argv) > 1 else ""
-    sf_dir = f"/root/testdata/sf{sys.argv[2] if len(sys.argv) > 2 else '0.01'}"
+    sf_dir = sys.argv[2] if len(sys.argv) > 2 else "0.01"
+    if "/" not in sf_dir:
+        sf_dir = f"/root/testdata/sf{sf_dir}"
     if os.environ.get("CHECK_PLAIN"):  # a session with Spark's own defaults
         spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
     else:
