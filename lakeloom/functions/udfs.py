@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import SparkSession, functions as F, types as T
+from pyspark.sql import SparkSession, functions as F
 
 
 def create_sql_function(spark: SparkSession, signature: str, returns: str, body: str) -> None:
@@ -15,13 +15,25 @@ def describe_function(spark: SparkSession, name: str):
     return spark.sql(f"DESCRIBE FUNCTION EXTENDED {name}")
 
 
-@F.udf(T.StringType())
-def first_letter_row(text):
+# Python functions are made on call: a function made here travels to the workers
+# whole, so they need not have this package installed.
+
+
+def first_letter_by_row():
     """Row at a time; ``substring(text, 1, 1)`` does the same inside the JVM."""
-    return text[:1] if text is not None else None
 
+    @F.udf("string")
+    def first_letter(text):
+        return text[:1] if text is not None else None
+
+    return first_letter
 
-@F.pandas_udf(T.StringType())
-def first_letter_batch(text: pd.Series) -> pd.Series:
+
+def first_letter_by_batch():
     """The same over Arrow batches."""
-    return text.str[:1]
+
+    def first_letter(text: pd.Series) -> pd.Series:
+        return text.str[:1]
+
+    first_letter.__annotations__ = {"text": pd.Series, "return": pd.Series}
+    return F.pandas_udf(first_letter, "string")

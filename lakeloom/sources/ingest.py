@@ -39,7 +39,7 @@ def ingest_schema(
 
 
 def file_stream(
-    spark: SparkSession, path: str, fmt: str, schema, max_files: int = 1000, max_age: str = "3650d", **options
+    spark: SparkSession, path: str, fmt: str, schema, max_files: int = 10_000, max_age: str = "3650d", **options
 ) -> DataFrame:
     """A stream over the files of a folder; each file is read once per checkpoint.
 

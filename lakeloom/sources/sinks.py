@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
@@ -24,3 +26,31 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str =
         .partitionBy(*columns)
         .parquet(path)
     )
+
+
+def rewrite_partitions(
+    spark: SparkSession, name: str, column: str, values: list, change: Callable[[DataFrame], DataFrame], staging: str
+) -> None:
+    """Apply a change to some partitions of a catalog table and leave the others unread.
+
+    The changed rows go to ``staging`` first: the table is replaced only once
+    they are whole, and a partition left without rows can be told and dropped.
+    """
+    table = spark.table(name)
+    affected = table.where(F.col(column).isin(values))
+    change(affected).select(*table.columns).hint("rebalance", column).write.partitionBy(column).parquet(staging)
+    staged = spark.read.schema(table.schema).parquet(staging)
+    found = {r[0] for r in staged.select(column).distinct().limit(len(values) + 1).collect()}
+    if found - set(values):
+        # replacing that partition would lose the rows it holds
+        raise ValueError(f"the change moves rows to other partitions of {column}")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        staged.select(*table.columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+    for value in set(values) - found:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = '{value}')")
+    spark.catalog.refreshTable(name)

@@ -279,13 +279,13 @@ _LETTERS = "SELECT left(p_name, 1) AS letter, count(*) AS n FROM part GROUP BY 1
 
 @query("X04_row_udf", _LETTERS)
 def row_udf(spark, sf):
-    letters = table(spark, sf, "part").select(udfs.first_letter_row("p_name").alias("letter"))
+    letters = table(spark, sf, "part").select(udfs.first_letter_by_row()("p_name").alias("letter"))
     return letters.groupBy("letter").agg(F.count("*").alias("n"))
 
 
 @query("X05_registered_udf", _LETTERS)
 def registered_udf(spark, sf):
-    spark.udf.register("lakeloom_letter", udfs.first_letter_row)
+    spark.udf.register("lakeloom_letter", udfs.first_letter_by_row())
     return spark.sql(
         "SELECT letter, count(*) AS n FROM (SELECT lakeloom_letter(p_name) AS letter FROM {part}) GROUP BY letter",
         part=table(spark, sf, "part"),
@@ -294,6 +294,6 @@ def registered_udf(spark, sf):
 
 @query("X06_vectorised_udf", _LETTERS)
 def vectorised_udf(spark, sf):
-    spark.udf.register("lakeloom_letter_batch", udfs.first_letter_batch)
+    spark.udf.register("lakeloom_letter_batch", udfs.first_letter_by_batch())
     letters = table(spark, sf, "part").select(F.expr("lakeloom_letter_batch(p_name)").alias("letter"))
     return letters.groupBy("letter").agg(F.count("*").alias("n"))

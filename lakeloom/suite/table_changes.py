@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import changes as ch
 from lakeloom.operators.layout import file_spans, optimize
-from lakeloom.session import scratch_dir
+from lakeloom.session import scratch_database, scratch_dir
+from lakeloom.sources.sinks import rewrite_partitions
 from lakeloom.suite.base import query, table
 from lakeloom.suite.standins import CHANGE_FEED, USERS, USERS_DIRTY, change_feed, users, users_dirty
 
@@ -27,6 +28,21 @@ def delete(spark, sf):
     return kept.union(ch.delete_where(dirty))  # without a predicate nothing is left
 
 
+@query("T02_delete_in_partitions", """SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS revenue FROM orders
+    WHERE o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_totalprice >= 100000) GROUP BY o_orderstatus""")
+def delete_in_partitions(spark, sf):
+    name = f"{scratch_database(spark)}.orders"
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    orders.write.partitionBy("o_orderstatus").saveAsTable(name)
+    rewrite_partitions(
+        spark, name, "o_orderstatus", ["F", "P"],
+        lambda rows: ch.delete_where(rows, "o_orderstatus = 'P' OR o_totalprice < 100000"), scratch_dir(spark, "staged"),
+    )
+    return spark.table(name).groupBy("o_orderstatus").agg(
+        F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("revenue")
+    )
+
+
 @query("T03_merge_insert_only", """SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 0
     OR c_mktsegment = 'BUILDING'""")
 def merge_insert_only(spark, sf):

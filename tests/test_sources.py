@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 from lakeloom import session
 from lakeloom.sources import files
 from lakeloom.sources.ingest import ingest_schema, rescue_json
-from lakeloom.sources.sinks import replace_table, write_partitioned
+from lakeloom.sources.sinks import replace_table, rewrite_partitions, write_partitioned
 
 
 def test_fail_fast_refuses_a_bad_line(spark, tmp_path):
@@ -81,6 +81,38 @@ def test_partition_overwrite_leaves_the_others(spark, tmp_path, rows):
     assert rows(spark.read.parquet(path).select("v", "k")) == [(1, "a"), (9, "b")]
 
 
+def test_rewrite_touches_only_its_partitions(spark, rows):
+    name = f"{session.scratch_database(spark)}.t"
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, "c")], "v int, k string")
+    df.write.partitionBy("k").saveAsTable(name)
+    untouched = [f for f in spark.table(name).where("k = 'a'").inputFiles()]
+    rewrite_partitions(spark, name, "k", ["b", "c"], lambda d: d.where("v = 2"), session.scratch_dir(spark, "s"))
+    assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+    assert [f for f in spark.table(name).where("k = 'a'").inputFiles()] == untouched
+    assert {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()} == {"k=a", "k=b"}
+
+
+def test_rewrite_refuses_to_move_rows_and_may_empty_the_table(spark, rows):
+    name = f"{session.scratch_database(spark)}.t"
+    spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string").write.partitionBy("k").saveAsTable(name)
+    with pytest.raises(ValueError, match="other partitions"):
+        rewrite_partitions(spark, name, "k", ["b"], lambda d: d.withColumn("k", F.lit("a")), session.scratch_dir(spark, "s"))
+    assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+    rewrite_partitions(spark, name, "k", ["a", "b"], lambda d: d.where("false"), session.scratch_dir(spark, "s"))
+    assert rows(spark.table(name)) == []
+
+
+def test_a_failing_rewrite_leaves_the_table(spark, rows):
+    name = f"{session.scratch_database(spark)}.t"
+    spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string").write.partitionBy("k").saveAsTable(name)
+    with pytest.raises(Exception, match="no good"):
+        rewrite_partitions(
+            spark, name, "k", ["b"], lambda d: d.where(F.raise_error(F.lit("no good")).cast("boolean")),
+            session.scratch_dir(spark, "s"),
+        )
+    assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+
+
 def test_scratch_is_below_the_shared_folder(spark):
     assert session.scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert session.scratch_dir(spark, "x") != session.scratch_dir(spark, "x")
