@@ -183,9 +183,9 @@ def provenance(spark, sf):
 def catalog_table(spark, sf):
     name = f"{scratch_database(spark)}.supplier"
     table(spark, sf, "supplier").write.saveAsTable(name)
-    suppliers = spark.table(name).where("s_acctbal > 0 AND s_suppkey < 50")
-    others = spark.read.table(name).where("s_acctbal > 0 AND s_suppkey >= 50")
-    return suppliers.union(others).select("s_suppkey", "s_name")
+    rich = spark.table(name).where("s_acctbal >= 5000")
+    others = spark.read.table(name).where("s_acctbal > 0 AND s_acctbal < 5000")
+    return rich.union(others).select("s_suppkey", "s_name")
 
 
 @query("S27_pandas_read", "SELECT event_id, value, value * 2 AS doubled FROM events")

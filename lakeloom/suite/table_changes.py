@@ -21,10 +21,10 @@ def update(spark, sf):
 
 
 @query("T02_delete", f"""WITH {USERS_DIRTY} SELECT user_id, email, balance FROM users_dirty
-    WHERE NOT coalesce(email LIKE '%building.com' OR user_id < 10, FALSE)""")
+    WHERE NOT coalesce(email LIKE '%building.com' OR balance < 100, FALSE)""")
 def delete(spark, sf):
     dirty = users_dirty(spark, sf)
-    kept = ch.delete_where(dirty, "email LIKE '%building.com' OR user_id < 10")
+    kept = ch.delete_where(dirty, "email LIKE '%building.com' OR balance < 100")
     return kept.union(ch.delete_where(dirty))  # without a predicate nothing is left
 
 

@@ -97,6 +97,9 @@ def test_complete_output_follows_the_state(spark, feed, tmp_path, rows):
     feed.add({"name": "Open"})
     assert update() == [("Fail", 1), ("Open", 2)]
     assert update() == [("Fail", 1), ("Open", 2)]
+    feed.add({"name": "Late"})
+    assert update() == [("Fail", 1), ("Late", 1), ("Open", 2)]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["slot=0", "slot=1"]
 
 
 CHANGES = [
