@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeloom.operators.joins import fits_broadcast
+from lakeloom.operators.joins import fits_broadcast, placed_anew
 
 
 def _col(expr: str | Column) -> Column:
@@ -102,7 +102,7 @@ def _apply_matched(target, source, on, clauses) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_matches"), *[F.any_value(c).alias(c) for c in payload])
     )
     same_key = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on])
-    joined = target.alias("t").join(per_key.alias("s"), same_key, "left")
+    joined = target.alias("t").join(placed_anew(per_key, on).alias("s"), same_key, "left")
     clause = _choose([_holds(c.when) for c in clauses])
     joined = joined.withColumn(
         "_clause",
@@ -138,7 +138,7 @@ def _new_rows(target, source, on, clauses) -> DataFrame:
         # a small source: keep the target's matching keys only, without shuffling the target
         keys = keys.join(source.select(*on), on, "left_semi")
     # distinct keys: a hot target key then costs one row, not its whole group
-    known = keys.distinct().alias("t")
+    known = placed_anew(keys.distinct(), on).alias("t")
     same_key = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in on])
     unmatched = source.alias("s").join(known, same_key, "left_anti")
     clause = _choose([_holds(c.when) for c in clauses])
@@ -273,7 +273,7 @@ def _with_horizon(log, keys, before_version, version_col):
         .groupBy(*keys)
         .agg(F.max(version_col).alias("_horizon"))
     )
-    return log.join(horizon, keys, "left").select(*log.columns, "_horizon")
+    return log.join(placed_anew(horizon, keys), keys, "left").select(*log.columns, "_horizon")
 
 
 def sync_rows(source_log: DataFrame, clone: DataFrame, on: list[str]) -> DataFrame:

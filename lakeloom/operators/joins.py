@@ -22,13 +22,25 @@ def salted_join(
     return salted.join(copies, on & (F.col("_salt_f") == F.col("_salt_e")), how).drop("_salt_f", "_salt_e")
 
 
+def placed_anew(df: DataFrame, keys: list[str]) -> DataFrame:
+    """An aggregated side made ready for a join in which the other side may have a hot key.
+
+    AQE splits a hot key only where both sides are shuffled for the join. A
+    side that comes out of an aggregation by the same key is already in place
+    and would be joined without a shuffle, and the hot key left whole. A key
+    column that is an expression is placed anew; the side is small by then,
+    with one row per key.
+    """
+    return df.withColumns({k: F.coalesce(k, k) for k in keys})
+
+
 def outer_join_unique(facts: DataFrame, entities: DataFrame, on: str) -> DataFrame:
     """Full outer join to a side with one row per key.
 
     AQE cannot split a hot key of a full outer join. Written as a left join,
     which it can, plus the entities no fact has, found among distinct keys.
     """
-    matched = facts.join(entities, on, "left")
+    matched = facts.join(placed_anew(entities, [on]), on, "left")
     alone = entities.join(facts.select(on).distinct(), on, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
 

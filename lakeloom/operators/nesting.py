@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lakeloom.operators.joins import placed_anew
+
 
 def pack_rows(
     df: DataFrame, keys: list[str], fields: list[str], name: str, max_items: int = 10_000
@@ -20,7 +22,7 @@ def pack_rows(
     )
     spread = (
         df.withColumn("_pos", F.monotonically_increasing_id())
-        .join(large, keys, "left")
+        .join(placed_anew(large, keys), keys, "left")
         .withColumn("pack", F.coalesce(F.pmod("_pos", "_packs"), F.lit(0)))
     )
     return spread.groupBy(*keys, "pack").agg(
