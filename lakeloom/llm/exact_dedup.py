@@ -18,8 +18,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakeloom.llm.common import SPACE, filled, located, query, saved, table
 from lakeloom.session import scratch_dir
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; its files take the room they need and reserve none, since each state partition has its own.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: str = "text") -> Column:
@@ -43,18 +46,17 @@ def seen_digests(feed: DataFrame, folder: str, key: str, bytes_per_trigger: int)
         spark.readStream.schema(feed.schema).option("maxBytesPerTrigger", bytes_per_trigger).parquet(folder)
         .groupBy("digest").agg(F.min(_first_row(key)).alias("first"), F.count(F.lit(1)).alias("n"))
     )
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
     try:  # the stream takes its settings when it starts
+        for k, v in STATE.items():
+            spark.conf.set(k, v)
         stream = (
             state.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).foreachBatch(publish).start()
         )
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     stream.awaitTermination()
     # a digest comes again in each batch that meets it: its first row only gets smaller, its count only larger
     updates = spark.createDataFrame([], state.schema) if feed.isEmpty() else spark.read.schema(state.schema).parquet(out)
