@@ -1,8 +1,9 @@
 """Quality classifier from supervised subword embeddings.
 
-Every word and every character trigram of a text (word edges count as a
-character) is hashed to a row of a table of vectors. A text is the average of its
-features' vectors; a linear layer and a softmax over the two labels follow. Both
+Every word, word pair and character trigram of a text (word edges count as a
+character) is hashed to a row of a table of vectors; a pair is hashed by the
+difference of its words, so that all pairs of equal words share a row. A text is
+the average of its features' vectors; a linear layer and a softmax over the two labels follow. Both
 are learned by stochastic gradient descent with a step per row that falls with
 the gradients seen (numpy, on the driver), from at most ``sample`` rows of each
 label: those whose key has the smallest hash. The sample is weighted to the label
@@ -39,24 +40,28 @@ def _buckets(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Feature numbers of the words and of the trigrams of all texts, and where each text's begin (and one end more)."""
+def features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Words, word pairs, trigrams: for each, the feature numbers of all texts and where each text's begin (and one end more)."""
     w = W.split(texts)
-    words = _buckets(w.hashes())
+    hashes = w.hashes()
+    pair = np.ones(max(0, len(hashes) - 1), bool)  # a word and the next, unless another text begins there
+    pair[w.first[(w.first > 0) & (w.first < len(hashes))] - 1] = False
+    pair = np.flatnonzero(pair)
+    pairs = W.mixed(hashes[pair + 1] - hashes[pair] + np.uint64(1 << 62))
     codes = np.where(w.space, np.uint32(32), w.codes).astype(np.uint64)
     middle = np.flatnonzero(~w.space)  # any character that isn't white space has one on each side
     before = np.where(middle > 0, codes[middle - 1], np.uint64(32)) if len(codes) else codes
-    grams = W.mixed((before * np.uint64(0x200003) + codes[middle]) * np.uint64(0x200003) + codes[np.minimum(middle + 1, len(codes) - 1)] + np.uint64(1 << 63))
-    return words, _buckets(grams), w.first, np.searchsorted(middle, w.at)
+    after = codes[np.minimum(middle + 1, len(codes) - 1)]
+    grams = W.mixed((before * np.uint64(0x200003) + codes[middle]) * np.uint64(0x200003) + after + np.uint64(1 << 63))
+    return [(_buckets(hashes), w.first), (_buckets(pairs), np.searchsorted(pair, w.first)), (_buckets(grams), np.searchsorted(middle, w.at))]
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(label, text) to (label, ids, counts): each text's distinct features."""
     for batch in batches:
         for part, texts in W.slices(batch):
-            words, grams, first, gram_first = features(texts)
-            bags = [np.unique(np.concatenate([words[first[i]:first[i + 1]], grams[gram_first[i]:gram_first[i + 1]]]), return_counts=True)
-                    for i in range(len(texts))]
+            found = features(texts)
+            bags = [np.unique(np.concatenate([ids[at[i]:at[i + 1]] for ids, at in found]), return_counts=True) for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays(
                 [part.column("label"), pa.array([i.astype(np.int32) for i, _ in bags], pa.list_(pa.int32())),
                  pa.array([c.astype(np.int32) for _, c in bags], pa.list_(pa.int32()))], names=["label", "ids", "counts"])
@@ -128,12 +133,11 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text")
         numbers, bias = sent.value
         for batch in batches:
             for part, texts in W.slices(batch, text):
-                words, grams, first, gram_first = features(["" if t is None else t for t in texts])
-                total = np.zeros(len(texts))
-                for ids, at in ((words, first), (grams, gram_first)):
+                total, n = np.zeros(len(texts)), np.zeros(len(texts))
+                for ids, at in features(texts):
                     sums = np.concatenate([[0.0], np.cumsum(numbers[ids], dtype=np.float64)])
                     total += sums[at[1:]] - sums[at[:-1]]
-                n = np.diff(first) + np.diff(gram_first)
+                    n += np.diff(at)
                 odds = bias + total / np.maximum(n, 1)
                 yield pa.RecordBatch.from_arrays([*map(part.column, others), pa.array(1 / (1 + np.exp(-odds)))], names=[*others, "score"])
 
