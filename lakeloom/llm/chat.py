@@ -71,18 +71,17 @@ def reply_paths(rows: DataFrame, best: int | None = None) -> DataFrame:
     links = nodes.select("tree", "node", "parent", "score")
     longest = links.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
     reach = saved(links.select("tree", "node", F.col("parent").alias("anc"), F.col("score").alias("total")), "reach")
+    rooted, open_ = reach.where("anc IS NULL"), reach.where("anc IS NOT NULL")
     jumps = []
     for _ in range(math.ceil(math.log2(longest + 1)) + 1):
-        if reach.where("anc IS NOT NULL").isEmpty():
+        if open_.isEmpty():
             break
-        jumps.append(reach)
-        a, b = reach.alias("a"), reach.alias("b")
+        jumps.append(open_)  # only nodes whose pointer hasn't met a root go on
+        a, b = open_.alias("a"), open_.unionByName(rooted).alias("b")
         reach = saved(
-            a.join(b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.anc") == F.col("b.node")), "left").select(
-                "a.tree", "a.node", F.col("b.anc").alias("anc"),
-                (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"),
-            ), "reach")
-    rooted = reach.where("anc IS NULL")
+            a.join(b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.anc") == F.col("b.node"))).select(
+                "a.tree", "a.node", F.col("b.anc").alias("anc"), (F.col("a.total") + F.col("b.total")).alias("total")), "reach")
+        rooted, open_ = rooted.unionByName(reach.where("anc IS NULL")), reach.where("anc IS NOT NULL")
     parents = links.where("parent IS NOT NULL").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
     leaves = rooted.join(parents, rooted.tree.eqNullSafe(parents.t) & (rooted.node == parents.p), "left_anti")
     ranked = leaves.withColumn("path_rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node")))
@@ -91,7 +90,7 @@ def reply_paths(rows: DataFrame, best: int | None = None) -> DataFrame:
     paths = saved(ranked.select("tree", F.col("node").alias("leaf"), "path_rank", F.col("total").alias("path_score"),
                                 F.lit(0).cast("long").alias("up"), "node"), "paths")
     for j in range(len(jumps) - 1, -1, -1):
-        s, jump = paths.alias("s"), jumps[j].where("anc IS NOT NULL").alias("j")
+        s, jump = paths.alias("s"), jumps[j].alias("j")
         further = s.join(jump, F.col("s.tree").eqNullSafe(F.col("j.tree")) & (F.col("s.node") == F.col("j.node"))).select(
             "s.tree", "leaf", "path_rank", "path_score", (F.col("up") + 2**j).alias("up"), F.col("j.anc").alias("node"))
         paths = saved(paths.unionByName(further), "paths")
