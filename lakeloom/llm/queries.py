@@ -1,4 +1,4 @@
 """The registered queries of this subpackage and their SQL."""
 
-from lakeloom.llm import chat, exact_dedup, mixing, quality, simhash, token_counts  # noqa: F401
+from lakeloom.llm import chat, exact_dedup, extraction, licenses, mixing, quality, simhash, token_counts  # noqa: F401
 from lakeloom.llm.common import ORACLE, QUERIES  # noqa: F401
