@@ -53,6 +53,16 @@ def located(docs: DataFrame) -> DataFrame:
         return saved(docs, "rows").select("*", *place)
 
 
+def whole(docs: DataFrame) -> DataFrame:
+    """Every row as one struct ``_all`` beside its place, so that no column of ``docs`` can clash with a helper's."""
+    return located(docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_all")))
+
+
+def fields(rows: DataFrame, *names: str) -> DataFrame:
+    """Columns of the rows that ``whole`` gave."""
+    return rows.select(*(F.col(f"_all.`{n}`").alias(n) for n in names))
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 

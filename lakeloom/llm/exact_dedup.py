@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeloom.llm.common import SPACE, filled, located, query, saved, table
+from lakeloom.llm.common import SPACE, fields, filled, located, query, saved, table, whole
 from lakeloom.session import scratch_dir
 
 #: State on disk; its files take the room they need and reserve none, since each state partition has its own.
@@ -103,9 +103,9 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", diges
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they came."""
-    rows = located(docs)
-    gone = exact_groups(docs, key, text).where(~F.col("kept")).select("_path", "_row")
-    return rows.join(gone.hint("shuffle_hash"), ["_path", "_row"], "left_anti").select(docs.columns)
+    rows = whole(docs)
+    gone = exact_groups(fields(rows, key, text), key, text).where(~F.col("kept")).select("_path", "_row")
+    return rows.join(gone.hint("shuffle_hash"), ["_path", "_row"], "left_anti").select("_all.*")
 
 
 @query("op8_exact_dedup", r"""WITH d AS (SELECT doc_id,

@@ -184,12 +184,13 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", weights=(1, 2,
 
 def mixed_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The mix itself: shard, slot, source, block, n_words, text (the block's words, joined by one space)."""
+    docs = located(docs.select(key, "source", text))
     _, _, taken = mix(docs, key, text, **options)
     part = F.struct("shard", "slot", "source", "block", "at", "skip", "words")
     parts = taken.groupBy("_path", "_row").agg(F.collect_list(part).alias("parts"))  # at most `ceiling` times a row's blocks
     words = F.filter(F.split(filled(text), SPACE), lambda w: w != "")
     cut = F.transform("parts", lambda p: p.withField("text", F.array_join(F.slice("all_words", p["skip"] + 1, p["words"]), " ")))
-    split = located(docs.select(text)).join(parts.hint("shuffle_hash"), ["_path", "_row"]).select("parts", words.alias("all_words"))
+    split = docs.select("_path", "_row", text).join(parts.hint("shuffle_hash"), ["_path", "_row"]).select("parts", words.alias("all_words"))
     each = split.select(F.inline(cut))
     return each.groupBy("shard", "slot", "source", "block").agg(
         F.sum("words").alias("n_words"), F.sort_array(F.collect_list(F.struct("at", "text"))).alias("texts")).select(

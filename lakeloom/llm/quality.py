@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lakeloom.llm import words as W
-from lakeloom.llm.common import filled, located, query, saved, table
+from lakeloom.llm.common import fields, filled, query, saved, table, whole
 
 BUCKET_BITS = 17
 
@@ -147,10 +147,11 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text")
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", **options) -> DataFrame:
     """``docs`` without the rows scored below one half, all columns as they came."""
-    rows = located(docs)
-    scored = scores(rows.select("_path", "_row", filled(text).alias("text")), train(docs, labels, key, text, label, **options))
-    good = saved(scored.where("score >= 0.5").select("_path", "_row"), "good")
-    return rows.join(good.hint("shuffle_hash"), ["_path", "_row"], "left_semi").select(docs.columns)
+    rows = whole(docs)
+    texts = rows.select("_path", "_row", F.coalesce(F.col(f"_all.`{text}`"), F.lit("")).alias("text"))
+    scored = scores(texts, train(fields(rows, key, text), labels, key, text, label, **options))
+    bad = saved(scored.where("score < 0.5").select("_path", "_row"), "rejected")
+    return rows.join(bad.hint("shuffle_hash"), ["_path", "_row"], "left_anti").select("_all.*")
 
 
 @query("op6_quality_classifier")

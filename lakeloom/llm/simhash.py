@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from lakeloom.llm.common import WORD, ascii_lower, filled, located, query, saved, table
+from lakeloom.llm.common import WORD, ascii_lower, fields, filled, located, query, saved, table, whole
 from lakeloom.llm.components import components
 
 BYTES = 8
@@ -134,10 +134,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bi
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = 2) -> DataFrame:
     """``docs`` with one row of each component, the one with the smallest key, all columns as they came."""
-    found = saved(near_duplicates(docs, key, text, bits), "found")
+    rows = whole(docs)
+    found = saved(near_duplicates(fields(rows, key, text), key, text, bits), "found")
     order = F.struct(F.col(key).isNull().alias("no_id"), F.col(key), "_path", "_row")
     stays = saved(found.groupBy("component_id").agg(F.min(order).alias("first")).select("first._path", "first._row"), "stays")
-    return located(docs).join(stays.hint("shuffle_hash"), ["_path", "_row"], "left_semi").select(docs.columns)
+    return rows.join(stays.hint("shuffle_hash"), ["_path", "_row"], "left_semi").select("_all.*")
 
 
 @query("op5_simhash_dedup")
