@@ -67,17 +67,19 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([c.astype(np.int32) for _, c in bags], pa.list_(pa.int32()))], names=["label", "ids", "counts"])
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights: np.ndarray, dim: int = 8, epochs: int = 8,
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights: np.ndarray, dim: int = 8, steps: int = 1000,
         batch: int = 32, step: float = 0.1, seed: int = 5) -> tuple[np.ndarray, float]:
     """One number per feature, and the bias: a text's log-odds is the mean of its features' numbers plus the bias."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (1 << BUCKET_BITS, dim)).astype(np.float32)
     layer, bias = rng.uniform(-1 / dim, 1 / dim, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)
     vector_seen, layer_seen, bias_seen = np.full(len(vectors), 1e-8, np.float32), np.full((dim, 2), 1e-8, np.float32), np.full(2, 1e-8, np.float32)
-    for _ in range(epochs):
+    done = 0
+    while done < steps:
         order = rng.permutation(len(bags))
         for at in range(0, len(order), batch):
             chosen = order[at:at + batch]
+            done += 1
             ids = np.concatenate([bags[i][0] for i in chosen])
             share = np.concatenate([bags[i][1] / max(1, bags[i][1].sum()) for i in chosen]).astype(np.float32)
             owner = np.repeat(np.arange(len(chosen)), [len(bags[i][0]) for i in chosen])

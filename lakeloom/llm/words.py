@@ -86,8 +86,8 @@ def split(texts: list[str], lower: bool = False) -> Words:
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", chars: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of a batch with about so many characters; a longer text is a part of its own."""
-    texts = batch.column(column).to_pylist()
+    """Parts of a batch with about so many characters; a longer text is a part of its own, a null one is empty."""
+    texts = [t or "" for t in batch.column(column).to_pylist()]
     start = size = 0
     for i, text in enumerate(texts):
         if size and size + len(text) > chars:
