@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeloom.operators.joins import salted_join
 from lakeloom.operators.quality import Rule, apply_rules
 from lakeloom.sources.ingest import file_stream
 from lakeloom.streaming.run import run_to_table
@@ -18,32 +17,29 @@ CUSTOMER_SCHEMA = (
 )
 
 
+VALID_ORDER = [Rule("valid_order_number", "order_number IS NOT NULL", "drop")]
+PLACE = ["state", "city", "units_purchased", "loyalty_segment"]
+
+
 def cleaned(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders with a number, joined with the customer's place (kept when there is none)."""
-    f, c = orders.alias("f"), customers.alias("c")
-    same = (F.col("c.customer_id") == F.col("f.customer_id")) & (F.col("c.customer_name") == F.col("f.customer_name"))
-    # a batch join leaves a hot customer to AQE, which a stream does not have
-    placed = salted_join(f, c, same, ["order_number", "order_datetime"], "left") if orders.isStreaming \
-        else f.join(c, same, "left")
-    at = F.timestamp_seconds(F.col("f.order_datetime").cast("bigint"))
-    selected = placed.select(
-        "f.customer_id", "f.customer_name", "f.number_of_line_items", at.alias("order_datetime"),
-        F.to_date(at).alias("order_date"), "f.order_number", "f.ordered_products",
-        "c.state", "c.city", "c.units_purchased", "c.loyalty_segment",
-    )
-    return apply_rules(selected, [Rule("valid_order_number", "order_number IS NOT NULL", "drop")])
+    """Numbered orders with their time, their day and the customer's place (null where the customer isn't known).
+
+    The customers are a table even where the orders are a stream, so the plain
+    join serves both.
+    """
+    people = customers.select(F.col("customer_id").alias("_id"), F.col("customer_name").alias("_name"), *PLACE)
+    numbered = apply_rules(orders, VALID_ORDER)
+    placed = numbered.join(people, (numbered.customer_id == people._id) & (numbered.customer_name == people._name), "left")
+    timed = placed.withColumn("order_datetime", F.timestamp_seconds(F.col("order_datetime").cast("bigint")))
+    return timed.drop("_id", "_name").withColumn("order_date", F.to_date("order_datetime"))
 
 
 def sales_in(cities: list[str], orders: DataFrame) -> DataFrame:
     """Sales, quantity and products per day, customer and currency in some cities."""
-    products = orders.where(F.col("city").isin(cities)).select(
-        "city", "order_date", "customer_id", "customer_name", F.explode("ordered_products").alias("product")
-    )
-    return products.groupBy("order_date", "city", "customer_id", "customer_name", "product.curr").agg(
-        F.sum("product.price").alias("sales"),
-        F.sum("product.qty").alias("quantity"),
-        F.count("product.id").alias("product_count"),
-    )
+    group = ["order_date", "city", "customer_id", "customer_name"]
+    lines = orders.where(F.col("city").isin(cities)).select(*group, F.inline("ordered_products"))
+    totals = {"sales": F.sum("price"), "quantity": F.sum("qty"), "product_count": F.count("id")}
+    return lines.groupBy(*group, "curr").agg(*(total.alias(name) for name, total in totals.items()))
 
 
 def update(

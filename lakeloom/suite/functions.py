@@ -242,14 +242,13 @@ def schema_of_json(spark, sf):
 # -- user-defined functions ---------------------------------------------------
 
 
-@query("X01_sql_function", """SELECT p_partkey, 'The ' || p_name || ' is on sale for $' || CAST(CAST(round(p_size * 0.8, 0) AS INT) AS VARCHAR) AS message
+@query("X01_sql_function", """SELECT p_partkey, p_name || ': ' || CAST(p_size * 12 AS VARCHAR) || ' a dozen' AS message
     FROM part""")
 def sql_function(spark, sf):
     udfs.create_sql_function(
-        spark, "lakeloom_sale(item STRING, price INT)", "STRING",
-        "concat('The ', item, ' is on sale for $', round(price * 0.8, 0))",
+        spark, "lakeloom_dozen(item STRING, price INT)", "STRING", "concat(item, ': ', price * 12, ' a dozen')",
     )
-    return spark.sql("SELECT p_partkey, lakeloom_sale(p_name, p_size) AS message FROM {part}", part=table(spark, sf, "part"))
+    return spark.sql("SELECT p_partkey, lakeloom_dozen(p_name, p_size) AS message FROM {part}", part=table(spark, sf, "part"))
 
 
 @query("X02_sql_function_case", """SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN 'on offer'
