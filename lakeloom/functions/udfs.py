@@ -20,9 +20,9 @@ def describe_function(spark: SparkSession, name: str):
 
 
 def first_letter_by_row():
-    """Row at a time; ``substring(text, 1, 1)`` does the same inside the JVM."""
+    """Row at a time, over Arrow batches; ``substring(text, 1, 1)`` does the same inside the JVM."""
 
-    @F.udf("string")
+    @F.udf("string", useArrow=True)
     def first_letter(text):
         return text[:1] if text is not None else None
 

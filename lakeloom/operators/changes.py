@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeloom.operators.joins import fits_broadcast, placed_anew
+from lakeloom.operators.joins import placed_anew
 
 
 def _col(expr: str | Column) -> Column:
@@ -86,6 +86,9 @@ def merge(
     The target is joined on its left side only: AQE can split a hot target key
     there, which a full outer join would not allow.
     """
+    named = {c for clause in [*matched, *not_matched] for c in (getattr(clause, "set", None) or getattr(clause, "values", None) or {})}
+    if unknown := sorted(named - set(target.columns)):
+        raise ValueError(f"merge: the target has no column {', '.join(unknown)}")
     result = target
     if matched:
         result = _apply_matched(target, source, on, list(matched))
@@ -133,11 +136,8 @@ def _apply_matched(target, source, on, clauses) -> DataFrame:
 
 
 def _new_rows(target, source, on, clauses) -> DataFrame:
-    keys = target.select(*on)
-    if fits_broadcast(source):
-        # a small source: keep the target's matching keys only, without shuffling the target
-        keys = keys.join(source.select(*on), on, "left_semi")
-    # distinct keys: a hot target key then costs one row, not its whole group
+    # only keys the source has matter, and distinct ones: a hot target key then costs one row, not its whole group
+    keys = target.select(*on).join(placed_anew(source.select(*on).distinct(), on), on, "left_semi")
     known = placed_anew(keys.distinct(), on).alias("t")
     same_key = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in on])
     unmatched = source.alias("s").join(known, same_key, "left_anti")

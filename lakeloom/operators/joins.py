@@ -49,13 +49,3 @@ def sort_rows(df: DataFrame, *order: str | Column) -> DataFrame:
     """Global sort in which equal rows, too, are divided over the range partitions."""
     placed = df.withColumn("_pos", F.monotonically_increasing_id())
     return placed.orderBy(*order, "_pos").drop("_pos")
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate lies within the broadcast threshold."""
-    limit = df.sparkSession.sql("SET spark.sql.autoBroadcastJoinThreshold").first().value
-    unit = {"b": 1, "kb": 2**10, "mb": 2**20, "gb": 2**30}
-    text = limit.strip().lower()
-    digits = text.rstrip("kmgb")
-    threshold = int(digits) * unit.get(text[len(digits):], 1)
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= threshold

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,7 +17,7 @@ def z_value(codes: list[Column], bits: int) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
-def range_code(value: Column, cuts: list[float]) -> Column:
+def range_code(value: Column, cuts: list) -> Column:
     """Number of sorted cut points at or below a value, found by halving."""
     def within(low: int, high: int) -> Column:
         if low == high:
@@ -29,46 +28,40 @@ def range_code(value: Column, cuts: list[float]) -> Column:
     return F.coalesce(F.when(value.isNotNull(), within(0, len(cuts))), F.lit(0)).cast("bigint")
 
 
-def ordered_numbers(df: DataFrame, columns: list[str]) -> dict[str, Column]:
-    """Each column as a number in the column's own order.
+def ordered_number(df: DataFrame, column: str) -> Column:
+    """A number, time or truth value as a number in its own order."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return (F.col(column).cast("int") if kind == "boolean" else F.col(column)).cast("double")
 
-    Text counts by the six bytes after the prefix all values share; that prefix
-    is the one of the least and the greatest value.
-    """
-    types = dict(df.dtypes)
-    texts = [c for c in columns if types[c] == "string"]
-    ends = df.agg(*[f(c).alias(f"{n}_{c}") for c in texts for n, f in (("low", F.min), ("high", F.max))]).first() \
-        if texts else None
-
-    def number(c: str) -> Column:
-        if types[c] == "string":
-            shared = os.path.commonprefix([ends[f"low_{c}"] or "", ends[f"high_{c}"] or ""])
-            digits = F.substring(F.hex(c), 2 * len(shared.encode()) + 1, 12)
-            return F.conv(F.rpad(digits, 12, "0"), 16, 10).cast("double")
-        if types[c] in ("date", "timestamp", "timestamp_ntz"):
-            return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-        if types[c] == "boolean":
-            return F.col(c).cast("int").cast("double")
-        return F.col(c).cast("double")
 
-    return {c: number(c) for c in columns}
+def text_cuts(df: DataFrame, column: str, steps: int) -> list[str]:
+    """Whole values that divide a text column into about equal ranges: the least of each but the first."""
+    dealt = df.select(column).where(F.col(column).isNotNull()).repartitionByRange(steps, column)
+    starts = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(column).alias("start")).collect()  # one row per range
+    return sorted({r["start"] for r in starts})[1:]
 
 
 def with_z_order(df: DataFrame, columns: list[str], bits: int = 6, name: str = "_z") -> DataFrame:
     """Add the z-value of number, time or text columns; null counts as the lowest value.
 
     Each column is cut at approximate quantiles into ``2**bits`` ranges, so the
-    codes are evenly filled whatever the distribution. The quantiles are one
-    partial aggregate; only the cut points (63 per column) reach the driver.
+    codes are evenly filled whatever the distribution. Numbers and times take
+    one partial aggregate together, each text column a range partitioning of its
+    own, whose bounds are whole values. Only cut points (63 per column) reach
+    the driver.
     """
     steps = 2**bits
     shares = [i / steps for i in range(1, steps)]
-    numbers = ordered_numbers(df, columns)
-    found = df.agg(*[F.percentile_approx(n, shares, 4 * steps).alias(c) for c, n in numbers.items()]).first()
-    coded = df.withColumns({f"_n_{c}": n for c, n in numbers.items()})
+    texts = {c for c in columns if df.schema[c].dataType.simpleString() == "string"}
+    values = {c: F.col(c) if c in texts else ordered_number(df, c) for c in columns}
+    numbers = [c for c in columns if c not in texts]
+    found = df.agg(*[F.percentile_approx(values[c], shares, 4 * steps).alias(c) for c in numbers]).first() if numbers else {}
+    coded = df.withColumns({f"_n_{c}": v for c, v in values.items()})
     # a column of few values gets few cuts; its codes are drawn apart to weigh as much in the z-value
     for c in columns:
-        cuts = sorted(set(found[c] or []))
+        cuts = text_cuts(df, c, steps) if c in texts else sorted(set(found[c] or []))
         code = range_code(F.col(f"_n_{c}"), cuts)
         coded = coded.withColumn(f"_code_{c}", F.floor(code * steps / (len(cuts) + 1)))
     # each code is a column of its own: its bits are taken from one value

@@ -10,35 +10,28 @@ from lakeloom.operators.joins import placed_anew
 def pack_rows(
     df: DataFrame, keys: list[str], fields: list[str], name: str, max_items: int = 10_000
 ) -> DataFrame:
-    """One row per key with its rows as ``array<struct<fields>>``, in sorted order.
+    """Rows packed into ``array<struct<fields>>``, sorted; one row per (keys, pack).
 
-    A key with more than ``max_items`` rows gets several rows, numbered by
-    ``pack``, so that no array grows with the data. Rows of such a key are dealt
-    out by their position in the scan, so copies of one row spread evenly.
+    A key of n rows has ``ceil(n / max_items)`` packs, so no array grows with the
+    data, and rows are dealt to them by a hash of their fields and their place
+    in the scan, so that copies spread too. The number of the key's rows goes
+    along as ``n_<name>``: what is said of a key must come from there, since a
+    pack may hold a part of it only.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = counts.where(F.col("_n") > max_items).select(
-        *keys, F.ceil(F.col("_n") / max_items).alias("_packs")
-    )
-    spread = (
-        df.withColumn("_pos", F.monotonically_increasing_id())
-        .join(placed_anew(large, keys), keys, "left")
-        .withColumn("pack", F.coalesce(F.pmod("_pos", "_packs"), F.lit(0)))
-    )
-    return spread.groupBy(*keys, "pack").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias(name)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n_{name}"))
+    dealt = df.withColumn("_at", F.xxhash64(*fields, F.monotonically_increasing_id()))
+    packs = F.ceil(F.col(f"n_{name}") / max_items)
+    placed = dealt.join(placed_anew(counts, keys), keys).withColumn("pack", F.pmod("_at", packs))
+    return placed.groupBy(*keys, "pack").agg(
+        F.any_value(f"n_{name}").alias(f"n_{name}"), F.array_sort(F.collect_list(F.struct(*fields))).alias(name)
     )
 
 
 def collect_distinct(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """``collect_set`` after the copies are gone, sorted; for values from a bounded domain.
+    """The distinct values per key as a sorted array; for values from a bounded domain.
 
-    Duplicates are dropped before rows of a key meet, so a key that holds much
-    of the data costs no more than its number of distinct values.
+    A set is built per key on each task and merged after the shuffle, so copies
+    cost nothing, but every distinct value of a key ends in one array. Keep
+    values as rows (``distinct``) where their number may grow with the data.
     """
-    return (
-        df.select(*keys, value)
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_set(value)).alias(name))
-    )
+    return df.groupBy(*keys).agg(F.array_sort(F.collect_set(value)).alias(name))

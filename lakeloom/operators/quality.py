@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
+#: What counts as an e-mail address: one @, no spaces, and a dot before the last letters.
+EMAIL_PATTERN = "^[^@ ]+@[^@ ]+[.][A-Za-z]{2,}$"
+
+
 @dataclass(frozen=True)
 class Rule:
     """A named condition; ``action`` is ``warn``, ``drop`` or ``fail``.
@@ -100,35 +105,53 @@ def expectation_totals(log: DataFrame) -> DataFrame:
     )
 
 
-def check_table(df: DataFrame, types: dict[str, str], rows: int | None = None) -> DataFrame:
+def check_table(
+    df: DataFrame, types: dict[str, str], rows: int | None = None, name: str | None = None,
+    values: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """A table contract: one row per expectation with ``ok``.
 
     Names and types come from the schema; the row count is one aggregate.
+    ``name`` must be a table or view of the catalog. ``values`` gives the values
+    a column must hold, in any order, as a frame of one column: both sets are
+    aggregated together, so neither leaves the executors.
     """
     actual = dict(df.dtypes)
     tests = [("columns", F.lit(set(actual) == set(types)))]
     tests += [(f"type of {c}", F.lit(actual.get(c) == t)) for c, t in types.items()]
+    if name is not None:
+        tests.append(("table exists", F.lit(df.sparkSession.catalog.tableExists(name))))
     if rows is not None:
         tests.append(("row count", F.col("_rows") == rows))
     totals = df.agg(F.count(F.lit(1)).alias("_rows"))
+    for i, (c, wanted) in enumerate((values or {}).items()):
+        sides = df.select(F.col(c).alias("v"), F.lit(1).alias("side")).unionByName(
+            wanted.select(F.col(wanted.columns[0]).alias("v"), F.lit(2).alias("side")))
+        met = sides.groupBy("v").agg(F.min("side").alias("low"), F.max("side").alias("high"))
+        totals = totals.join(met.agg(F.count_if(F.col("low") == F.col("high")).alias(f"_unlike{i}")))  # one row beside one row
+        tests.append((f"values of {c}", F.col(f"_unlike{i}") == 0))
     return totals.select(
         F.inline(F.array(*[F.struct(F.lit(n).alias("expectation"), ok.alias("ok")) for n, ok in tests]))
     )
 
 
-def is_member(members: DataFrame, user: str, group: str) -> bool:
-    """Whether the membership table lists the user in the group (reads one row)."""
-    return not members.where((F.col("user") == user) & (F.col("group") == group)).isEmpty()
-
-
 def masked_view(
-    df: DataFrame, masks: dict[str, Column], restricted: bool, row_filter: str | None = None
+    df: DataFrame, masks: dict[str, Column], members: DataFrame, group: str, readers: DataFrame, row_filter: str | None = None
 ) -> DataFrame:
-    """The view a restricted reader gets: masked columns, only permitted rows."""
-    if not restricted:
-        return df
-    view = df.where(row_filter) if row_filter else df
-    return view.withColumns(masks)
+    """What each reader gets: all of the table if the membership table has the reader in the group, else masked
+    columns and permitted rows only.
+
+    ``members`` has the columns user and group, ``readers`` the column user: a
+    few readers, whose membership is one join. The rows of a reader are found by
+    a filter, not by a join, so the view of one reader is one scan.
+    """
+    inside = members.where(F.col("group") == group).select("user").distinct().withColumn("_inside", F.lit(True))
+    known = readers.distinct().join(inside, "user", "left").select("user", F.coalesce("_inside", F.lit(False)).alias("inside")).collect()
+    views = []
+    for reader in sorted(known):
+        seen = df if reader["inside"] else df.where(row_filter or "true").withColumns(masks)
+        views.append(seen.withColumn("user", F.lit(reader["user"])))
+    return reduce(DataFrame.unionByName, views) if views else df.limit(0).withColumn("user", F.lit(None).cast("string"))
 
 
 def partial_mask(column: str, shown: int = 2) -> Column:

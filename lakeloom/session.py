@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -49,6 +51,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         app = context.applicationId
         if app not in _local_base:
             _local_base[app] = tempfile.mkdtemp(prefix="lakeloom-")
+            atexit.register(shutil.rmtree, _local_base[app], ignore_errors=True)  # made here, so removed here
         base = _local_base[app]
     return f"{base.rstrip('/')}/lakeloom/{name}-{uuid.uuid4().hex[:12]}"
 

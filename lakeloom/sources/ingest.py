@@ -39,12 +39,13 @@ def ingest_schema(
 
 
 def file_stream(
-    spark: SparkSession, path: str, fmt: str, schema, max_files: int = 10_000, max_age: str = "3650d", **options
+    spark: SparkSession, path: str, fmt: str, schema, max_files: int = 10_000, max_age: str = "100000000000d", **options
 ) -> DataFrame:
     """A stream over the files of a folder; each file is read once per checkpoint.
 
     Spark passes over files much older than the newest one (7 days by its own
-    default); the age here is wide, so that a late file is not lost.
+    default); the age here is as wide as it can be, so that no file is lost; give
+    a smaller one to pass over old files.
     """
     return (
         spark.readStream.format(fmt)

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeloom.operators.joins import salted_join
 
 
 def join_streams(
-    facts: DataFrame, entities: DataFrame, on: Column, spread_on: list[str], salt: int = 8
+    facts: DataFrame, entities: DataFrame, on: Column, spread_on: list[str], salt: int = 8,
+    times: tuple[str, str] | None = None, within: str = "1 hour", lateness: str = "10 minutes",
 ) -> DataFrame:
-    """Inner join of two streams; a hot key is spread over ``salt`` state partitions.
+    """Inner join of two streams; a hot key is spread over ``salt`` state partitions (1: not spread).
 
-    Neither side is dropped for age: put watermarks and a time condition on the
-    inputs when the sources guarantee a bound on lateness, else keep the state
-    in RocksDB, as ``session.build_session`` sets it.
+    With ``times`` (the time columns of facts and entities, of unlike names) a
+    fact meets the entities of the time ``within`` before it, rows may come
+    ``lateness`` late, and state that no later row can meet is dropped. Without
+    it both sides are kept for ever, in RocksDB as ``session.build_session`` sets it.
     """
-    return salted_join(facts, entities, on, spread_on, "inner", salt)
+    if times:
+        fact_time, entity_time = times
+        facts, entities = facts.withWatermark(fact_time, lateness), entities.withWatermark(entity_time, lateness)
+        span = F.expr(f"INTERVAL {within}")
+        on = on & (F.col(fact_time) >= F.col(entity_time)) & (F.col(fact_time) <= F.col(entity_time) + span)
+    return salted_join(facts, entities, on, spread_on, "inner", salt) if salt > 1 else facts.join(entities, on)

@@ -79,20 +79,22 @@ def run_complete(
 
     While one is replaced the other holds the last whole result, and a repeated
     batch replaces its own folder: a lost job leaves neither gap nor duplicates.
+    What readers take is named by a note that is written when a folder is whole.
     """
     def publish(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn("_batch", F.lit(batch_id))
-        stamped.write.mode("overwrite").parquet(f"{target}/slot={batch_id % 2}")
+        slot = batch_id % 2
+        batch.write.mode("overwrite").parquet(f"{target}/slot={slot}")
+        note = batch.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("batch"))
+        note.coalesce(1).write.mode("overwrite").parquet(f"{target}-whole/slot={slot}")
 
     writer = stream.writeStream.outputMode("complete").foreachBatch(publish)
     return run(writer, checkpoint, timeout, state_partitions)
 
 
 def read_complete(spark: SparkSession, target: str) -> DataFrame:
-    """The aggregate as last published by ``run_complete``."""
-    published = spark.read.option("basePath", target).parquet(target)
-    newest = published.agg(F.max("_batch")).first()[0]
-    return published.where(F.col("_batch") == newest).drop("_batch", "slot")
+    """The aggregate as last published whole by ``run_complete``; a folder that is being replaced isn't looked at."""
+    newest = spark.read.schema("batch long, slot int").option("basePath", f"{target}-whole").parquet(f"{target}-whole").agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{target}/slot={newest % 2}")
 
 
 def run_batches(

@@ -20,10 +20,19 @@ def labelled(spark, sf):
         F.xxhash64("l_orderkey", "l_linenumber", "l_partkey").alias("row_key"),
         (F.col("l_returnflag") == "R").cast("double").alias("label"),
         "l_linestatus", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        F.month("l_shipdate").alias("ship_month"),
+        F.month("l_shipdate").alias("ship_month"), (F.col("l_orderkey") % 10).alias("tenth"),
     )
 
 
+def parts(spark, sf):
+    """Rows to learn from and rows to score: two tenths of the orders."""
+    rows = labelled(spark, sf)
+    return rows.where("tenth < 8"), rows.where("tenth >= 8")
+
+
+SCORED = "(SELECT *, CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM lineitem WHERE l_orderkey % 10 >= 8)"
+
+
 @query("M01_vector_assembler", """SELECT l_linenumber, count(*) AS n, round(sum(l_quantity), 2) AS s0, round(sum(l_discount), 2) AS s1
     FROM lineitem GROUP BY l_linenumber""")
 def vector_assembler(spark, sf):
@@ -55,28 +64,50 @@ def linear_regression(spark, sf):
     )
 
 
+MAX_DEPTH = 5
+
+
 def _fitted(spark, sf):
-    train, test = ml.split_rows(labelled(spark, sf), "row_key")
-    return ml.tree_stages(CATEGORIES, NUMBERS, "label", max_depth=5).fit(train), test
+    train, test = parts(spark, sf)
+    return ml.tree_stages(CATEGORIES, NUMBERS, "label", max_depth=MAX_DEPTH).fit(train), test
 
 
-@query("M04_decision_tree")
+@query("M04_decision_tree", f"""SELECT label, count(*) AS n, TRUE AS all_scored, TRUE AS within_depth, TRUE AS no_worse_than_majority
+    FROM {SCORED} GROUP BY label""")
 def decision_tree(spark, sf):
     model, test = _fitted(spark, sf)
-    tree = model.stages[-1]
-    return model.transform(test).groupBy("label", "prediction").agg(
-        F.count("*").alias("n"), F.lit(tree.depth).alias("depth"), F.lit(tree.numNodes).alias("nodes")
-    )
 
+    def per_label(rows):
+        return model.transform(rows).groupBy("label").agg(
+            F.count("*").alias("n"), F.count("prediction").alias("scored"), F.count_if(F.col("label") == F.col("prediction")).alias("hits"))
 
-@query("M05_fitted_stages")
-def fitted_stages(spark, sf):
-    model, test = _fitted(spark, sf)
-    scored = model.transform(test).select("row_key", "label", "prediction", vector_to_array("probability").alias("p"))
-    return scored.select("row_key", "label", "prediction", F.round(F.col("p")[1], 4).alias("p_returned"))
+    # on the rows it learned from, a tree is right at least as often as the commonest label
+    learned = per_label(parts(spark, sf)[0]).agg(F.sum("hits").alias("all_hits"), F.max("n").alias("majority"))
+    return per_label(test).join(learned).select(  # one row of totals beside one row per label
+        "label", "n", (F.col("scored") == F.col("n")).alias("all_scored"), F.lit(model.stages[-1].depth <= MAX_DEPTH).alias("within_depth"),
+        (F.col("all_hits") >= F.col("majority")).alias("no_worse_than_majority"))
 
 
-@query("M06_evaluate", "SELECT TRUE AS same_accuracy, TRUE AS same_weighted_precision, TRUE AS f1_in_range, count(*) >= 0 AS counted FROM lineitem")
+@query("M05_fitted_stages", f"""SELECT label, count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber, l_partkey)) AS keys, TRUE AS same_as_stages, TRUE AS probabilities
+    FROM {SCORED} GROUP BY label""")
+def fitted_stages(spark, sf):
+    model, test = _fitted(spark, sf)
+    by_hand = test
+    for stage in model.stages:
+        by_hand = stage.transform(by_hand.withColumnRenamed("prediction", "before"))
+    returned = vector_to_array("probability")[1]
+    both = model.transform(test).select("row_key", "label", F.xxhash64("prediction", returned).alias("whole"), F.lit(0).alias("hand"), returned.alias("p")).unionByName(
+        by_hand.select("row_key", "label", F.lit(0).cast("long").alias("whole"), F.xxhash64("prediction", returned).alias("hand"), F.lit(0.5).alias("p")))
+    per_key = both.groupBy("label", "row_key").agg(
+        (F.count("*") / 2).cast("long").alias("n"), F.sum(F.col("whole") % 1_000_003).alias("whole"), F.sum(F.col("hand") % 1_000_003).alias("hand"),
+        F.min("p").alias("low"), F.max("p").alias("high"))
+    return per_key.groupBy("label").agg(
+        F.sum("n").alias("n"), F.count("*").alias("keys"), F.bool_and(F.col("whole") == F.col("hand")).alias("same_as_stages"),
+        F.bool_and((F.col("low") >= 0) & (F.col("high") <= 1)).alias("probabilities"))
+
+
+@query("M06_evaluate", f"""SELECT TRUE AS same_accuracy, TRUE AS same_weighted_precision, TRUE AS f1_in_range, count(*) AS n,
+    count(*) FILTER (WHERE label = 1) AS n_returned FROM {SCORED}""")
 def evaluate(spark, sf):
     model, test = _fitted(spark, sf)
     scored = model.transform(test).select("label", "prediction").cache()
@@ -91,25 +122,24 @@ def evaluate(spark, sf):
         actual.join(per_class, "prediction", "left").na.fill(0)
         .agg(
             F.sum("hits").alias("hits"), F.sum("actual").alias("n"),
+            F.sum(F.when(F.col("prediction") == 1, F.col("actual")).otherwise(0)).alias("n_returned"),
             F.sum(F.when(F.col("predicted") > 0, F.col("actual") * F.col("hits") / F.col("predicted")).otherwise(0)).alias("wp"),
         )
     )
     result = sums.select(
         (F.abs(F.col("hits") / F.col("n") - metrics["accuracy"]) < 1e-9).alias("same_accuracy"),
         (F.abs(F.col("wp") / F.col("n") - metrics["weightedPrecision"]) < 1e-9).alias("same_weighted_precision"),
-        F.lit(0 < metrics["f1"] <= 1).alias("f1_in_range"),
-        (F.col("n") > 0).alias("counted"),
+        F.lit(0 < metrics["f1"] <= 1).alias("f1_in_range"), "n", "n_returned",
     )
-    answer = result.persist()
-    answer.count()
+    answer = spark.createDataFrame(result.collect(), result.schema)  # one row; the scored rows are let go
     scored.unpersist()
     return answer
 
 
-@query("M07_model_search", """SELECT max_depth, max_bins, TRUE AS valid, TRUE AS best_is_top, TRUE AS scored_all
-    FROM (VALUES (2, 16), (2, 32), (4, 16), (4, 32)) AS s(max_depth, max_bins) WHERE EXISTS (SELECT 1 FROM lineitem)""")
+@query("M07_model_search", f"""SELECT max_depth, max_bins, TRUE AS valid, TRUE AS best_is_top, count(*) AS n_scored
+    FROM (VALUES (2, 16), (2, 32), (4, 16), (4, 32)) AS s(max_depth, max_bins), {SCORED} GROUP BY ALL""")
 def model_search(spark, sf):
-    train, test = ml.split_rows(labelled(spark, sf), "row_key")
+    train, test = parts(spark, sf)
     train = train.cache()
     found = ml.search(train, ml.tree_stages(CATEGORIES, NUMBERS, "label"), "label", depths=[2, 4], bins=[16, 32])
     train.unpersist()
@@ -121,15 +151,15 @@ def model_search(spark, sf):
     best = found.bestModel.stages[-1]
     is_top = (best.getMaxDepth(), best.getMaxBins(), top) in settings
     tried = spark.createDataFrame(settings, "max_depth int, max_bins int, f1 double")
-    scored = found.bestModel.transform(test).agg(F.count("prediction").alias("n_scored"), F.count("*").alias("n"))
+    scored = found.bestModel.transform(test).agg(F.count("prediction").alias("n_scored"))
     return spark.sql(
         """SELECT max_depth, max_bins, f1 > 0 AND f1 <= 1 AS valid, :is_top AS best_is_top,
-                  (SELECT n_scored = n FROM {scored}) AS scored_all FROM {tried}""",
+                  (SELECT n_scored FROM {scored}) AS n_scored FROM {tried}""",
         args={"is_top": is_top}, tried=tried, scored=scored,
     )
 
 
-@query("M08_save_and_reload", "SELECT TRUE AS same_counts, TRUE AS same_scores")
+@query("M08_save_and_reload", f"SELECT count(*) AS n, TRUE AS same_scores FROM {SCORED}")
 def save_and_reload(spark, sf):
     model, test = _fitted(spark, sf)
     again = ml.save_and_reload(model, scratch_dir(spark, "model"))
@@ -141,7 +171,6 @@ def save_and_reload(spark, sf):
         )
 
     return spark.sql(
-        """SELECT (SELECT n_a FROM {a}) = (SELECT n_b FROM {b}) AS same_counts,
-                  (SELECT h_a FROM {a}) = (SELECT h_b FROM {b}) AS same_scores""",
+        """SELECT (SELECT n_a FROM {a}) AS n, (SELECT n_a FROM {a}) = (SELECT n_b FROM {b}) AND (SELECT h_a FROM {a}) = (SELECT h_b FROM {b}) AS same_scores""",
         a=totals(model, "a"), b=totals(again, "b"),
     )

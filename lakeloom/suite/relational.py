@@ -6,6 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from lakeloom.functions.nested import words
 from lakeloom.operators.joins import sort_rows
+from lakeloom.operators.quality import EMAIL_PATTERN
 from lakeloom.suite.base import query, table
 from lakeloom.suite.standins import (
     PLACES, SALES, USERS, USERS_DIRTY, places, sales, users, users_dirty,
@@ -139,13 +140,13 @@ def literal(spark, sf):
 
 
 @query("P15_pattern", f"""WITH {USERS} SELECT user_id, email LIKE 'customer%' AS like_name,
-    regexp_matches(email, '^([a-zA-Z0-9_.-]+)@([a-zA-Z0-9_.-]+)[.]([a-zA-Z]{{2,5}})$') AS valid,
+    regexp_matches(email, '{EMAIL_PATTERN}') AS valid,
     suffix(email, 'building.com') AS builder FROM users""")
 def pattern(spark, sf):
     return users(spark, sf).select(
         "user_id",
         F.col("email").like("customer%").alias("like_name"),
-        F.col("email").rlike(r"^([a-zA-Z0-9_.-]+)@([a-zA-Z0-9_.-]+)[.]([a-zA-Z]{2,5})$").alias("valid"),
+        F.col("email").rlike(EMAIL_PATTERN).alias("valid"),
         F.col("email").endswith("building.com").alias("builder"),
     )
 
@@ -385,35 +386,38 @@ def union_by_name(spark, sf):
 # -- pandas-style frames, caching, actions -------------------------------------
 
 
-@query("S23_literal_table", """SELECT weight, count(*) AS n, round(sum(o_totalprice), 2) AS revenue FROM orders
-    JOIN (VALUES ('1-URGENT', 3), ('2-HIGH', 2), ('3-MEDIUM', 1)) AS w(priority, weight) ON o_orderpriority = priority
-    GROUP BY weight""")
+@query("S23_literal_table", """SELECT coalesce(weight, 0) AS weight, count(*) AS n, round(sum(o_totalprice), 2) AS revenue FROM orders
+    LEFT JOIN (VALUES ('1-URGENT', 3), ('2-HIGH', 2), ('3-MEDIUM', 1)) AS w(priority, weight) ON o_orderpriority = priority
+    GROUP BY 1""")
 def literal_table(spark, sf):
     weights = spark.sql("SELECT * FROM VALUES ('1-URGENT', 3), ('2-HIGH', 2), ('3-MEDIUM', 1) AS w(priority, weight)")
     orders = table(spark, sf, "orders")
     return (
-        orders.join(weights, orders.o_orderpriority == weights.priority)
-        .groupBy("weight")
+        orders.join(weights, orders.o_orderpriority == weights.priority, "left")
+        .groupBy(F.coalesce("weight", F.lit(0)).alias("weight"))
         .agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
     )
 
 
-@query("S24_range", """SELECT bucket, count(event_id) AS n FROM range(0, 60) AS r(bucket)
-    LEFT JOIN events ON CAST(floor(value / 10) AS BIGINT) = bucket GROUP BY bucket""")
+@query("S24_range", """WITH b AS (SELECT *, CAST(floor(value / 10) AS BIGINT) AS tens FROM events)
+    SELECT bucket, count(event_id) AS n FROM (SELECT unnest(range(min(tens), max(tens) + 1)) AS bucket FROM b) AS r
+    LEFT JOIN b ON tens = bucket GROUP BY bucket""")
 def range_source(spark, sf):
-    buckets = spark.range(60).withColumnRenamed("id", "bucket")
     counts = table(spark, sf, "events").groupBy(F.floor(F.col("value") / 10).alias("bucket")).count()
+    low, high = counts.agg(F.min("bucket"), F.max("bucket")).first()
+    buckets = spark.range(low or 0, (high or 0) + 1).withColumnRenamed("id", "bucket")
     return buckets.join(counts, "bucket", "left").select("bucket", F.coalesce("count", F.lit(0)).alias("n"))
 
 
-@query("S25_rows", """SELECT label, count(*) AS n FROM part JOIN (VALUES ('PROMO', 'on offer'), ('ECONOMY', 'cheap'))
-    AS l(kind, label) ON p_type = kind GROUP BY label""")
+@query("S25_rows", """SELECT coalesce(label, 'plain') AS label, count(*) AS n FROM part LEFT JOIN (VALUES ('PROMO', 'on offer'), ('ECONOMY', 'cheap'))
+    AS l(kind, label) ON p_type = kind GROUP BY 1""")
 def rows(spark, sf):
     labels = spark.createDataFrame(
         [T.Row(kind="PROMO", label="on offer"), T.Row(kind="ECONOMY", label="cheap")], "kind string, label string"
     )
     part = table(spark, sf, "part")
-    return part.join(labels, part.p_type == labels.kind).groupBy("label").agg(F.count("*").alias("n"))
+    named = part.join(labels, part.p_type == labels.kind, "left").select(F.coalesce("label", F.lit("plain")).alias("label"))
+    return named.groupBy("label").agg(F.count("*").alias("n"))
 
 
 @query("B01_pandas_assign", "SELECT event_id, value + 1 AS x FROM events")

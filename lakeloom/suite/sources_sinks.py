@@ -118,8 +118,8 @@ def json_nested_schema(spark, sf):
     path = _written(spark, sales_documents(spark, sf), "json", "documents")
     inferred = spark.read.json(path).schema
     schema = T.StructType.fromJson(json.loads(inferred.json()))
-    ddl = "order_id bigint, pack bigint, items array<struct<item_id: bigint, price: double, qty: double, curr: string>>"
-    if {f.name for f in schema} != {"order_id", "pack", "items"}:
+    ddl = "order_id bigint, pack bigint, n_items bigint, items array<struct<item_id: bigint, price: double, qty: double, curr: string>>"
+    if {f.name for f in schema} != {"order_id", "pack", "n_items", "items"}:
         raise ValueError(f"unexpected fields {schema.simpleString()}")
     items = spark.read.schema(ddl).json(path).select("order_id", F.inline("items"))
     return items.groupBy("order_id").agg(F.count("*").alias("n"), F.max("price").alias("top"))

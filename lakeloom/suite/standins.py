@@ -94,9 +94,9 @@ PLACES = f"""places AS (SELECT c_custkey AS user_id, {EMAIL} AS email, c_acctbal
 
 
 def sales_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """One document per order with its items nested; a very large order spans several documents.
+    """Documents of orders with their items nested; (order_id, pack) is the key, n_items the order's line count.
 
-    order_id, pack, items array<struct<item_id, price, qty, curr>>.
+    order_id, pack, n_items, items array<struct<item_id, price, qty, curr>>.
     """
     lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
@@ -149,13 +149,3 @@ change_feed AS (SELECT user_id AS customer_id,
     CASE WHEN event_type = 'view' AND k = 0 THEN NULL WHEN event_type = 'signup' THEN 'INSERT'
          WHEN event_type = 'error' THEN 'DELETE' ELSE 'UPDATE' END AS operation,
     epoch_us(ts) AS seq_us, event_id AS seq_id FROM feed0)"""
-
-
-def readings(spark: SparkSession, sf: str) -> DataFrame:
-    """Device readings: reading_id, device_id, time, heartrate."""
-    return table(spark, sf, "events").select(
-        F.col("event_id").alias("reading_id"),
-        F.col("user_id").alias("device_id"),
-        F.col("ts").alias("time"),
-        F.col("value").alias("heartrate"),
-    )

@@ -125,7 +125,7 @@ def retail_orders(spark, sf):
     return documents.join(heads, documents.order_id == heads.o_orderkey).select(
         F.col("o_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
-        F.size("items").cast("bigint").alias("number_of_line_items"),
+        F.col("n_items").alias("number_of_line_items"),
         F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).cast("string").alias("order_datetime"),
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderkey")).alias("order_number"),
         product.alias("ordered_products"),

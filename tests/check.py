@@ -3,6 +3,7 @@
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
@@ -24,6 +25,7 @@ def main():
     else:
         spark = build_session("check", "local[8]", **{
             "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "20g", "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-shared-"),
         })
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle.connect(sf_dir)

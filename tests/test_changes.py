@@ -199,3 +199,20 @@ def test_sync_rows(log, rows):
     copy = log.where("version <= 2")
     assert rows(copy.union(ch.sync_rows(log, copy, ["id", "version"]))) == rows(log)
     assert ch.sync_rows(log, log, ["id", "version"]).isEmpty()
+
+
+def test_merge_refuses_unknown_columns(spark):
+    target = spark.createDataFrame([(1, "a")], "id int, v string")
+    for clauses in ({"matched": [ch.Update(set={"vv": "s.v"})]}, {"not_matched": [ch.Insert(values={"idd": "s.id"})]}):
+        with pytest.raises(ValueError, match="no column"):
+            ch.merge(target, target, ["id"], **clauses)
+
+
+def test_schema_of_all_values(spark):
+    from lakeloom.functions.nested import parse_like
+
+    texts = spark.createDataFrame([('{"a": 1}',), ('{"b": {"c": "x"}, "a": 2.5}',), (None,), ("no json",), ('{"d": [1, 2]}',)], "t string")
+    got = parse_like(texts, "t").select("json.a", "json.b.c", "json.d").collect()
+    assert [r.c for r in got] == [None, "x", None, None, None] and [float(r.a) for r in got if r.a is not None] == [1.0, 2.5]
+    assert got[4].d == [1, 2]
+    assert parse_like(texts.where("t IS NULL"), "t").count() == 1

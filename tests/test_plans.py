@@ -55,7 +55,7 @@ def test_sql_function_is_inlined_and_python_is_not(spark, orders):
     udfs.create_sql_function(spark, "half_of(x DOUBLE)", "DOUBLE", "x / 2")
     assert "Python" not in _physical(orders.select(F.expr("half_of(o_totalprice)")))
     assert "half_of" in " ".join(r[0] for r in udfs.describe_function(spark, "half_of").collect())
-    assert "BatchEvalPython" in _physical(orders.select(udfs.first_letter_by_row()("o_orderstatus")))
+    assert "ArrowEvalPython" in _physical(orders.select(udfs.first_letter_by_row()("o_orderstatus")))
     assert "ArrowEvalPython" in _physical(orders.select(udfs.first_letter_by_batch()("o_orderstatus")))
 
 

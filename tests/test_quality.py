@@ -49,12 +49,22 @@ def test_contract(people, rows):
     assert checks == {"columns": True, "type of id": True, "type of email": False, "row count": False}
 
 
+def test_contract_of_values_and_name(spark, people, rows):
+    people.createOrReplaceTempView("contract_people")
+    mails = spark.createDataFrame([("bad",), (None,), ("c@x.com",), ("a@x.com",)], "m string")
+    kinds = dict(people.dtypes)
+    checks = dict(rows(q.check_table(people, kinds, name="contract_people", values={"email": mails})))
+    assert checks["table exists"] and checks["values of email"]
+    checks = dict(rows(q.check_table(people, kinds, name="no_such_table", values={"email": mails.limit(3)})))
+    assert not checks["table exists"] and not checks["values of email"]
+
+
 def test_masks(spark, people, rows):
-    members = spark.createDataFrame([("ann", "analysts")], "user string, group string")
+    members = spark.createDataFrame([("ann", "analysts"), ("bob", "others"), ("ann", "analysts")], "user string, group string")
+    readers = spark.createDataFrame([("ann",), ("bob",), ("eve",)], "user string")
     masks = {"email": q.partial_mask("email", 3)}
-    for user, restricted in (("ann", True), ("bob", False)):
-        assert q.is_member(members, user, "analysts") is restricted
-        view = q.masked_view(people, masks, restricted, "id IS NOT NULL")
-        assert view.count() == (3 if restricted else 4)
-    masked = q.masked_view(people, masks, True)
+    seen = q.masked_view(people, masks, members, "analysts", readers, "id IS NOT NULL")
+    assert dict(rows(seen.groupBy("user").count())) == {"ann": 4, "bob": 3, "eve": 3}
+    assert q.masked_view(people, masks, members, "analysts", readers.limit(0)).count() == 0
+    masked = seen.where("user = 'bob'")
     assert ("****com" in {r[1] for r in rows(masked)}) and ("bad" in {r[1] for r in rows(masked)})

@@ -7,7 +7,7 @@ from lakeloom.operators import changes as ch
 from lakeloom.operators.changes import latest_by
 from lakeloom.operators.joins import outer_join_unique, placed_anew, salted_join, sort_rows
 from lakeloom.operators.layout import (
-    file_spans, optimize, ordered_numbers, range_code, with_z_order, z_value,
+    file_spans, optimize, range_code, with_z_order, z_value,
 )
 from lakeloom.operators.nesting import collect_distinct, pack_rows
 
@@ -33,6 +33,13 @@ def test_packs_are_bounded_and_whole(skewed, rows):
     assert rows(_exploded(packed)) == rows(skewed.groupBy("k", "v").count())
 
 
+def test_a_key_of_many_packs_keeps_its_count(skewed):
+    packed = pack_rows(skewed, ["k"], ["v"], "items", max_items=500)
+    totals = {r.k: (r.n, r.size) for r in packed.groupBy("k").agg(
+        F.max("n_items").alias("n"), F.sum(F.size("items")).alias("size")).collect()}
+    assert totals[0][0] > 500 and all(n == size for n, size in totals.values())
+
+
 def test_small_keys_stay_in_one_pack(skewed):
     packed = pack_rows(skewed.where("k > 0"), ["k"], ["v"], "items")
     assert packed.count() == packed.select("k").distinct().count()
@@ -115,12 +122,13 @@ def test_z_order_without_any_value(spark):
 
 
 @pytest.mark.parametrize("values", [
-    ["Customer#01", "Customer#02", "Customer#1", "Customer#10", "Customer#é"], ["", "a", "ab", "b"], ["same", "same"],
+    [f"{k}/customer-{i:05d}" for k in "ab" for i in range(500)], ["same", "same"], ["", "a", "é", "z" * 100, "z" * 100 + "1"],
 ])
-def test_text_counts_in_its_own_order(spark, values):
+def test_texts_are_cut_by_whole_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "t string")
-    got = [r[0] for r in df.select(ordered_numbers(df, ["t"])["t"]).collect()]
-    assert got == sorted(got) and len(set(got)) == len(set(values))
+    got = [(r.t, r._z) for r in with_z_order(df, ["t"]).collect()]
+    assert [t for t, _ in sorted(got)] == [t for t, _ in sorted(got, key=lambda r: (r[1], r[0]))]
+    assert len({z for _, z in got}) >= min(len(set(values)), 40)
 
 
 def test_z_order_on_text_and_time(spark, tmp_path):
