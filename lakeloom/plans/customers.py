@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators.joins import placed_anew
 from lakeloom.operators.quality import EMAIL_PATTERN, Rule, apply_rules
-from lakeloom.sources.files import with_provenance
-from lakeloom.sources.ingest import file_stream
+from lakeloom.sources.ingest import json_stream, parsed_rows
 from lakeloom.streaming.changes import apply_changes_stream, current_state
 from lakeloom.streaming.run import run_to_table
 
@@ -42,10 +41,10 @@ def subscribed_emails(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 def update(spark: SparkSession, feed: str, out: str, timeout: float | None = None) -> DataFrame:
     """Take in what has arrived and return the customers as they now stand."""
-    raw = with_provenance(file_stream(spark, feed, "json", FEED_SCHEMA))
+    raw = json_stream(spark, feed, FEED_SCHEMA)
     run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze", timeout=timeout)
-    stored = spark.readStream.schema(spark.read.parquet(f"{out}/bronze").schema).parquet(f"{out}/bronze")
-    apply_changes_stream(clean(stored), KEYS, SEQUENCE, f"{out}/changes", f"{out}/_checkpoints/changes", timeout)
+    stored = spark.readStream.schema(raw.schema).parquet(f"{out}/bronze")
+    apply_changes_stream(clean(parsed_rows(stored)), KEYS, SEQUENCE, f"{out}/changes", f"{out}/_checkpoints/changes", timeout)
     return current_customers(spark, out)
 
 

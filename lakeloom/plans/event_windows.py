@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeloom.sources.ingest import file_stream
+from lakeloom.sources.ingest import json_stream, parsed_rows
 from lakeloom.streaming.run import run_to_table
 
 SCHEMA = "event_name string, event_time timestamp"
@@ -20,7 +20,8 @@ def per_minute(events: DataFrame) -> DataFrame:
 
 def update(spark: SparkSession, feed: str, out: str, timeout: float | None = None) -> DataFrame:
     """Take in what has arrived; the counts are recomputed in full."""
-    run_to_table(file_stream(spark, feed, "json", SCHEMA), f"{out}/raw", f"{out}/_checkpoints/raw", timeout=timeout)
-    stored = spark.readStream.schema(spark.read.parquet(f"{out}/raw").schema).parquet(f"{out}/raw")
-    run_to_table(cleaned(stored), f"{out}/clean", f"{out}/_checkpoints/clean", timeout=timeout)
+    raw = json_stream(spark, feed, SCHEMA)
+    run_to_table(raw, f"{out}/raw", f"{out}/_checkpoints/raw", timeout=timeout)
+    stored = spark.readStream.schema(raw.schema).parquet(f"{out}/raw")
+    run_to_table(cleaned(parsed_rows(stored)), f"{out}/clean", f"{out}/_checkpoints/clean", timeout=timeout)
     return per_minute(spark.read.parquet(f"{out}/clean"))

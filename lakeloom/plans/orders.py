@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators.quality import Rule, apply_rules
-from lakeloom.sources.files import with_provenance
-from lakeloom.sources.ingest import file_stream
+from lakeloom.sources.ingest import json_stream, parsed_rows
 from lakeloom.streaming.run import run_to_table
 
 FEED_SCHEMA = "order_id bigint, customer_id bigint, order_timestamp bigint, notifications string"
@@ -26,8 +25,8 @@ def by_date(orders: DataFrame) -> DataFrame:
 
 def update(spark: SparkSession, feed: str, out: str, timeout: float | None = None) -> DataFrame:
     """Take in what has arrived, extend both tables, and recompute the daily counts."""
-    raw = with_provenance(file_stream(spark, feed, "json", FEED_SCHEMA))
+    raw = json_stream(spark, feed, FEED_SCHEMA)
     run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze", timeout=timeout)
-    stored = spark.readStream.schema(spark.read.parquet(f"{out}/bronze").schema).parquet(f"{out}/bronze")
-    run_to_table(silver(stored), f"{out}/silver", f"{out}/_checkpoints/silver", timeout=timeout)
+    stored = spark.readStream.schema(raw.schema).parquet(f"{out}/bronze")
+    run_to_table(silver(parsed_rows(stored)), f"{out}/silver", f"{out}/_checkpoints/silver", timeout=timeout)
     return by_date(spark.read.parquet(f"{out}/silver"))

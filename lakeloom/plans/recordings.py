@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators.quality import Rule, apply_rules
-from lakeloom.sources.ingest import file_stream, ingest_schema
+from lakeloom.sources.ingest import file_stream, ingest_schema, json_stream, parsed_rows
 from lakeloom.streaming.joins import join_streams
 from lakeloom.streaming.run import read_complete, run_complete, run_to_table
 
@@ -41,7 +41,9 @@ def update(
     recording_schema = ingest_schema(
         spark, recording_feed, "json", hints={"time": "double"}, location=f"{out}/_schema/recordings"
     )
-    recordings = file_stream(spark, recording_feed, "json", recording_schema)
+    raw = json_stream(spark, recording_feed, recording_schema)
+    run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze", timeout=timeout)
+    recordings = parsed_rows(spark.readStream.schema(raw.schema).parquet(f"{out}/bronze"))
     patients = file_stream(spark, patient_feed, "csv", "mrn bigint, name string", header=True)
     run_to_table(
         enriched(recordings, patients), f"{out}/enriched", f"{out}/_checkpoints/enriched",

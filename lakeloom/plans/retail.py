@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators.quality import Rule, apply_rules
-from lakeloom.sources.ingest import file_stream
+from lakeloom.sources.ingest import file_stream, json_stream, parsed_rows
 from lakeloom.streaming.run import run_to_table
 
 ORDER_SCHEMA = (
@@ -49,6 +49,8 @@ def update(
     people = file_stream(spark, customer_feed, "csv", CUSTOMER_SCHEMA, header=True)
     run_to_table(people, f"{out}/customers", f"{out}/_checkpoints/customers", timeout=timeout)
     customers = spark.read.parquet(f"{out}/customers")
-    orders = file_stream(spark, order_feed, "json", ORDER_SCHEMA)
+    raw = json_stream(spark, order_feed, ORDER_SCHEMA)
+    run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze", timeout=timeout)
+    orders = parsed_rows(spark.readStream.schema(raw.schema).parquet(f"{out}/bronze"))
     run_to_table(cleaned(orders, customers), f"{out}/orders", f"{out}/_checkpoints/orders", timeout=timeout)
     return spark.read.parquet(f"{out}/orders")

@@ -7,6 +7,7 @@ import json
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lakeloom.sources.files import with_provenance
 from lakeloom.streaming.run import run_to_table
 
 
@@ -33,7 +34,7 @@ def ingest_schema(
     return T.StructType(
         [
             T.StructField(f.name, hinted.get(f.name, f.dataType if infer else T.StringType()), True)
-            for f in found
+            for f in found if f.name != "_corrupt_record"
         ]
     )
 
@@ -81,6 +82,19 @@ def rescue_json(lines: DataFrame, schema: T.StructType, column: str = "value") -
     return parsed.select(*others, "_row.*", rescued.alias("_rescued_data"))
 
 
+def json_stream(spark: SparkSession, path: str, schema: str | T.StructType, **options) -> DataFrame:
+    """A stream over JSON lines: the schema's fields, ``source_file``, ``processing_time``, and ``_rescued_data``
+    with all that the schema doesn't take, so that a raw table loses nothing."""
+    lines = with_provenance(file_stream(spark, path, "text", "value string", **options))
+    return rescue_json(lines, T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+
+
+def parsed_rows(raw: DataFrame) -> DataFrame:
+    """The rows of a raw table; lines that were no JSON, and what tells of the ingest, stay behind in it."""
+    whole = F.get_json_object("_rescued_data", "$._line").isNull()
+    return raw.where(whole).drop("_rescued_data", "source_file", "processing_time")
+
+
 def _any_of(tests):
     result = tests[0]
     for t in tests[1:]:

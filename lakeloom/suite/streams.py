@@ -34,11 +34,17 @@ def timed(events):
     return events.withColumn("event_time", F.timestamp_micros("time_us"))
 
 
-def arrivals(spark, df, first, step, fmt="json", **options):
-    """Write the rows in two arrivals and call ``step(folder)`` after each; the last result."""
+def arrivals(spark, df, first, step, fmt="json", odd=False, **options):
+    """Write the rows in two arrivals and call ``step(folder)`` after each; the last result.
+
+    With ``odd`` the second arrival also has a field no schema knows and a line that is no JSON.
+    """
     folder = scratch_dir(spark, "feed")
     result = None
-    for part in (df.where(first), df.where(f"NOT coalesce({first}, false)")):
+    for k, part in enumerate((df.where(first), df.where(f"NOT coalesce({first}, false)"))):
+        if odd and k:
+            part = part.withColumn("unheard_of", F.lit("kept"))
+            spark.createDataFrame([('{"order_id": 1, ',)], "value string").coalesce(1).write.mode("append").text(folder)
         part.write.mode("append").format(fmt).options(**options).save(folder)
         result = step(folder)
     return result

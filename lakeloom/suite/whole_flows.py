@@ -33,7 +33,7 @@ BEFORE_1998 = "order_timestamp < 883612800"  # 1998-01-01
 @query("L01_orders", """SELECT strftime(o_orderdate, '%Y-%m-%d') AS order_date, count(*) AS total_daily_orders FROM orders GROUP BY 1""")
 def orders_flow(spark, sf):
     out = scratch_dir(spark, "orders")
-    daily = arrivals(spark, order_feed(spark, sf), BEFORE_1998, lambda feed: orders.update(spark, feed, out))
+    daily = arrivals(spark, order_feed(spark, sf), BEFORE_1998, lambda feed: orders.update(spark, feed, out), odd=True)
     return daily.withColumn("order_date", F.col("order_date").cast("string"))
 
 
@@ -55,7 +55,7 @@ _FIRST_HALF = "seq_us < 1705363200000000"
 
 def _customers_from_stream(spark, sf):
     out = scratch_dir(spark, "customers")
-    return arrivals(spark, change_feed(spark, sf), _FIRST_HALF, lambda feed: customers.update(spark, feed, out))
+    return arrivals(spark, change_feed(spark, sf), _FIRST_HALF, lambda feed: customers.update(spark, feed, out), odd=True)
 
 
 def _customers_from_batch(spark, sf):
@@ -99,7 +99,7 @@ def status_flow(spark, sf):
     out = scratch_dir(spark, "status")
     rows = arrivals(
         spark, status_feed(spark, sf), "status_timestamp < 883612800",
-        lambda feed: status.update(spark, feed, out, SINCE),
+        lambda feed: status.update(spark, feed, out, SINCE), odd=True,
     )
     emails = customers.subscribed_emails(order_feed(spark, sf), _customers_from_batch(spark, sf))
     return status.email_updates(rows, emails).select("order_id", "order_status", "email")
@@ -166,7 +166,7 @@ def retail_flow(spark, sf):
     retail_customers(spark, sf).write.option("header", True).csv(people)
     cleaned = arrivals(
         spark, retail_orders(spark, sf), "order_datetime < '883612800'",
-        lambda feed: retail.update(spark, feed, people, out),
+        lambda feed: retail.update(spark, feed, people, out), odd=True,
     )
     return _city_sales(cleaned)
 
@@ -202,7 +202,7 @@ def recordings_flow(spark, sf):
         spark, recording_feed(spark, sf), "time < 1705363200",
         lambda feed: recordings.update(
             spark, feed, patients, out, state_partitions=spark.sparkContext.defaultParallelism
-        ),
+        ), odd=True,
     )
     return daily.withColumns({"date": F.col("date").cast("string"), "avg_heartrate": settled(F.col("avg_heartrate"))})
 
@@ -237,7 +237,7 @@ def _shown(counts):
 def event_windows_flow(spark, sf):
     out = scratch_dir(spark, "event_windows")
     return _shown(arrivals(
-        spark, named_events(spark, sf), "event_time < 1705363200", lambda feed: event_windows.update(spark, feed, out)
+        spark, named_events(spark, sf), "event_time < 1705363200", lambda feed: event_windows.update(spark, feed, out), odd=True
     ))
 
 

@@ -300,3 +300,20 @@ def test_state_of_joined_streams_is_dropped(spark, tmp_path):
         held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
     assert spark.read.parquet(str(tmp_path / "out")).count() == 400
     assert max(held) <= 2 * 300  # two batches' rows at most, the entities twice: older state went
+
+
+def test_raw_tables_lose_nothing(spark, tmp_path):
+    from lakeloom.plans import event_windows, orders
+
+    feed, out = tmp_path / "feed", str(tmp_path / "out")
+    feed.mkdir()
+    (feed / "a.json").write_text('{"order_id": 1, "customer_id": 2, "order_timestamp": 1700000000, "gift": "yes"}\n{"order_id": 7, \n')
+    (feed / "b.json").write_text('{"order_id": 2, "customer_id": "many", "order_timestamp": 1700000001}\n')
+    assert [r[1] for r in orders.update(spark, str(feed), out).collect()] == [2]
+    kept = {r._rescued_data for r in spark.read.parquet(f"{out}/bronze").collect()}
+    assert kept == {'{"gift":"yes"}', '{"_line":"{\\"order_id\\": 7, "}', '{"customer_id":"many"}'}
+    (tmp_path / "events").mkdir()
+    (tmp_path / "events" / "a.json").write_text('{"event_name": "Open", "event_time": "2024-01-01 10:00:00", "x": 1}\nbroken\n{"event_name": "Fail"}\n')
+    counts = event_windows.update(spark, str(tmp_path / "events"), str(tmp_path / "windows"))
+    assert [(r.event_name, r["count"]) for r in counts.collect()] == [("Open", 1)]
+    assert spark.read.parquet(str(tmp_path / "windows" / "raw")).where("_rescued_data IS NOT NULL").count() == 2
