@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 #: What counts as an e-mail address: one @, no spaces, and a dot before the last letters.
@@ -27,12 +27,12 @@ class Rule:
         return F.coalesce(F.expr(self.condition), F.lit(False))
 
 
-def apply_rules(df: DataFrame, rules: list[Rule], observation: Observation | None = None) -> DataFrame:
+def apply_rules(df: DataFrame, rules: list[Rule], observation: Observation | str | None = None) -> DataFrame:
     """Apply all rules in one pass.
 
     ``fail`` stops the job at the first bad row, so its write is not committed;
     ``drop`` removes rows; ``warn`` only counts. With an observation, the counts
-    of broken rules come out of the same job.
+    of broken rules come out of the same job; a stream takes the observation's name.
     """
     kept = F.lit(True)
     for rule in rules:
@@ -94,8 +94,23 @@ def progress_events(report: DataFrame, update_id: str, at: str) -> DataFrame:
     )
 
 
+def record_counts(spark: SparkSession, log: str, dataset: str, rules: list[Rule], counts: dict[str, int], update_id: str) -> None:
+    """Add to the event log in folder ``log`` what an update of a dataset observed: rows, and broken rows per rule."""
+    rows = counts.get("rows", 0)
+    entries = [(update_id, r.name, dataset, rows - counts.get(r.name, 0), counts.get(r.name, 0)) for r in rules]
+    report = spark.createDataFrame(entries, "update_id string, name string, dataset string, passed_records long, failed_records long")
+    events = progress_events(report.withColumn("at", F.current_timestamp()), "update_id", "at")
+    events.coalesce(1).write.mode("append").parquet(log)
+
+
+def latest_update(log: DataFrame) -> DataFrame:
+    """The rows of the update that was logged last."""
+    last = log.agg(F.max_by("origin.update_id", "timestamp").alias("update_id"))
+    return log.join(last, F.col("origin.update_id") == F.col("update_id")).drop("update_id")
+
+
 def expectation_totals(log: DataFrame) -> DataFrame:
-    """Passed and failed rows per dataset and rule over an event log."""
+    """Passed and failed rows per dataset and rule over an event log (see ``latest_update`` for one update)."""
     raw = F.get_json_object("details", "$.flow_progress.data_quality.expectations")
     entries = log.where("event_type = 'flow_progress'").select(
         F.inline(F.from_json(raw, EXPECTATION_SCHEMA))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeloom.operators.quality import Rule, apply_rules
+from lakeloom.operators.quality import Rule, apply_rules, record_counts
 from lakeloom.sources.ingest import json_stream, parsed_rows
 from lakeloom.streaming.run import run_to_table
 
@@ -15,7 +17,7 @@ RULES = [Rule("valid_date", "order_timestamp > timestamp'1990-01-01'", "fail")]
 def silver(bronze: DataFrame) -> DataFrame:
     """Orders with a typed timestamp; an order dated before the shop opened stops the update."""
     typed = bronze.withColumn("order_timestamp", F.timestamp_seconds("order_timestamp"))
-    return apply_rules(typed.drop("source_file"), RULES)
+    return apply_rules(typed.drop("source_file"), RULES, "orders_silver" if bronze.isStreaming else None)
 
 
 def by_date(orders: DataFrame) -> DataFrame:
@@ -28,5 +30,7 @@ def update(spark: SparkSession, feed: str, out: str, timeout: float | None = Non
     raw = json_stream(spark, feed, FEED_SCHEMA)
     run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze", timeout=timeout)
     stored = spark.readStream.schema(raw.schema).parquet(f"{out}/bronze")
-    run_to_table(silver(parsed_rows(stored)), f"{out}/silver", f"{out}/_checkpoints/silver", timeout=timeout)
+    seen: dict[str, dict[str, int]] = {}
+    run_to_table(silver(parsed_rows(stored)), f"{out}/silver", f"{out}/_checkpoints/silver", timeout=timeout, observed=seen)
+    record_counts(spark, f"{out}/event_log", "orders_silver", RULES, seen.get("orders_silver", {}), uuid.uuid4().hex)
     return by_date(spark.read.parquet(f"{out}/silver"))

@@ -11,24 +11,35 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 PARTITIONS = "spark.sql.shuffle.partitions"
 
 
-def finish(query: StreamingQuery, timeout: float | None = None) -> int:
-    """Wait for an available-now query; rows read. Past the timeout, stop it and fail."""
+def finish(query: StreamingQuery, timeout: float | None = None, observed: dict[str, dict[str, int]] | None = None) -> int:
+    """Wait for an available-now query; rows read. Past the timeout, stop it and fail.
+
+    ``observed`` takes the sums over all batches of what ``DataFrame.observe`` counted, by name.
+    """
     deadline = time.monotonic() + timeout if timeout else float("inf")
     rows: dict[int, int] = {}
+    counts: dict[tuple[str, int], dict[str, int]] = {}
     done = False
     while not done:
         done = query.awaitTermination(min(2.0, max(0.1, deadline - time.monotonic())))
         # Spark keeps the last progress reports only, so they are gathered on the way
         for progress in query.recentProgress:
             rows[progress.batchId] = max(progress.numInputRows, rows.get(progress.batchId, 0))
+            counts |= {(name, progress.batchId): row.asDict() for name, row in progress.observedMetrics.items()}
         if not done and time.monotonic() >= deadline:
             query.stop()
             raise TimeoutError(f"stream still running after {timeout} s")
+    if observed is not None:
+        for (name, _), found in counts.items():
+            total = observed.setdefault(name, {})
+            for k, v in found.items():
+                total[k] = total.get(k, 0) + (v or 0)
     return sum(rows.values())
 
 
 def run(
-    writer: DataStreamWriter, checkpoint: str, timeout: float | None = None, state_partitions: int | None = None
+    writer: DataStreamWriter, checkpoint: str, timeout: float | None = None, state_partitions: int | None = None,
+    observed: dict[str, dict[str, int]] | None = None,
 ) -> int:
     """Process everything that has arrived since the checkpoint, then end.
 
@@ -38,7 +49,7 @@ def run(
     """
     due = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if state_partitions is None:
-        return finish(due.start(), timeout)
+        return finish(due.start(), timeout, observed)
     conf = SparkSession.active().conf
     usual = conf.get(PARTITIONS)
     conf.set(PARTITIONS, str(state_partitions))
@@ -46,18 +57,18 @@ def run(
         query = due.start()  # the query keeps a copy of the settings
     finally:
         conf.set(PARTITIONS, usual)
-    return finish(query, timeout)
+    return finish(query, timeout, observed)
 
 
 def run_to_table(
     stream: DataFrame, target: str, checkpoint: str, partition_by: list[str] = (), timeout: float | None = None,
-    state_partitions: int | None = None,
+    state_partitions: int | None = None, observed: dict[str, dict[str, int]] | None = None,
 ) -> int:
     """Append a stream to a parquet table, each input row once; rows read."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", target)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return run(writer, checkpoint, timeout, state_partitions)
+    return run(writer, checkpoint, timeout, state_partitions, observed)
 
 
 def run_to_view(

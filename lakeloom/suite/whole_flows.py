@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeloom.operators.quality import expectation_totals, latest_update
 from lakeloom.plans import customers, event_windows, orders, recordings, retail, shop, status
 from lakeloom.session import scratch_dir
 from lakeloom.suite.base import query, settled, table
@@ -105,6 +106,18 @@ def status_flow(spark, sf):
     return status.email_updates(rows, emails).select("order_id", "order_status", "email")
 
 
+@query("E05_flow_counts", """WITH late AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01')
+    SELECT 'status_silver' AS dataset, 'valid_timestamp' AS name, count(*) FILTER (WHERE o_orderdate > TIMESTAMP '1997-01-01') AS passing_records,
+      count(*) FILTER (WHERE o_orderdate <= TIMESTAMP '1997-01-01') AS failing_records FROM late
+    UNION ALL SELECT 'status_silver', 'known_status', count(*) FILTER (WHERE o_orderstatus IN ('O', 'F')),
+      count(*) FILTER (WHERE o_orderstatus NOT IN ('O', 'F')) FROM late""")
+def flow_counts(spark, sf):
+    # the older half arrives last; its update's counts are what the flow itself wrote to its log
+    out = scratch_dir(spark, "status_counts")
+    arrivals(spark, status_feed(spark, sf), "status_timestamp >= 883612800", lambda feed: status.update(spark, feed, out, SINCE), odd=True)
+    return expectation_totals(latest_update(spark.read.parquet(f"{out}/event_log")))
+
+
 @query("L03_status_batch", _STATUS)
 def status_batch(spark, sf):
     silver = status.silver(status_feed(spark, sf).withColumn("source_file", F.lit("batch")), SINCE)
