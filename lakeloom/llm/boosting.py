@@ -30,7 +30,7 @@ class Trees:
         return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, weights: np.ndarray, trees: int = 60, depth: int = 4, step: float = 0.2, penalty: float = 1.0, n_bins: int = 32) -> Trees:
+def fit(x: np.ndarray, y: np.ndarray, weights: np.ndarray, trees: int = 80, depth: int = 5, step: float = 0.2, penalty: float = 1.0, n_bins: int = 32) -> Trees:
     """Boost logistic loss; each level of a tree takes the best cut of every node."""
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, n_bins)[1:-1])) for f in range(x.shape[1])]
     share = np.average(y, weights=weights)

@@ -164,7 +164,7 @@ def _marked(seed: int) -> tuple[Page, np.ndarray]:
 
 
 @cache
-def model(layouts: int = 1500, seed: int = 1) -> boosting.Trees:
+def model(layouts: int = 3000, seed: int = 1) -> boosting.Trees:
     """The trees, learned from ``layouts`` generated pages."""
     rows = [(features(p), y) for p, y in map(_marked, range(seed * 1_000_003, seed * 1_000_003 + layouts))]
     x, y = np.concatenate([f[1:] for f, _ in rows]), np.concatenate([h[1:] for _, h in rows]).astype(float)

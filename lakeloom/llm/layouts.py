@@ -131,6 +131,12 @@ class Maker:
                 parts.append(f"<figure><img src=x><figcaption data-main>{self.words(3, 20)}</figcaption></figure>")
         for _ in range(r.choice([0, 0, 0, 1, 2])):
             parts.insert(r.randint(min(1, len(parts)), len(parts)), self.clutter())
+        if r.random() < 0.08:
+            parts.insert(min(1, len(parts)), self.put("nav", ["nav", "nav", "div"], self.links(2, 6)))
+        if r.random() < 0.12:
+            parts.append(self.put("footer", ["footer", "footer", "div"], r.choice([self.links(1, 5), self.words(2, 20), f"<p>{self.words(2, 20)}</p>"])))
+        if r.random() < 0.12:
+            parts.append(self.comments())
         inside = "".join(parts)
         for _ in range(r.choice([0, 0, 1, 2])):
             inside = f"<div{self.named(r.choice(['main', 'plain']))}>{inside}</div>"
