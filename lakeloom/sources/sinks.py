@@ -36,21 +36,21 @@ def rewrite_partitions(
     The changed rows go to ``staging`` first: the table is replaced only once
     they are whole, and a partition left without rows can be told and dropped.
     """
-    table = spark.table(name)
-    affected = table.where(F.col(column).isin(values))
+    table, given = spark.table(name), [v for v in values if v is not None]
+    wanted = F.col(column).isin(given)
+    affected = table.where(wanted | F.col(column).isNull() if len(given) < len(values) else wanted)
     change(affected).select(*table.columns).hint("rebalance", column).write.partitionBy(column).parquet(staging)
     staged = spark.read.schema(table.schema).parquet(staging)
     found = {r[0] for r in staged.select(column).distinct().limit(len(values) + 1).collect()}
     if found - set(values):
         # replacing that partition would lose the rows it holds
         raise ValueError(f"the change moves rows to other partitions of {column}")
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        staged.select(*table.columns).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(mode, before)
+    # a session of its own takes the setting, which this kind of insert reads from nowhere else
+    writing = spark.newSession()
+    writing.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    writing.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    writing.read.schema(table.schema).parquet(staging).select(*table.columns).write.mode("overwrite").insertInto(name)
     for value in set(values) - found:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = '{value}')")
+        literal = "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {literal})")
     spark.catalog.refreshTable(name)

@@ -129,3 +129,13 @@ def test_no_machine_local_scratch_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_dir(Cluster(), "x")
+
+
+def test_rewrite_of_quoted_and_null_partitions(spark, rows):
+    name = f"{session.scratch_database(spark)}.t"
+    df = spark.createDataFrame([(1, "it's"), (2, "a\\b"), (3, None), (4, "c")], "v int, k string")
+    df.write.partitionBy("k").saveAsTable(name)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    rewrite_partitions(spark, name, "k", ["it's", "a\\b", None], lambda d: d.where("v = 2").withColumn("v", F.col("v") * 10), session.scratch_dir(spark, "s"))
+    assert rows(spark.table(name)) == [(20, "a\\b"), (4, "c")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
