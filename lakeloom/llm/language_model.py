@@ -13,8 +13,8 @@ chances of all known tokens and of each class's unknown one sum to one.
 Everything is learned from all training rows. Counts come from one aggregation.
 The class weights are trained in ``rounds``, each over another part of the rows:
 every task starts from the common weights, makes a gradient step per block of
-tokens, and gives its change; the changes are averaged by tokens, summed by rows
-of the weight table on the executors.
+tokens, and gives its change; the changes are averaged by tokens on the
+executors, by parts of the weight table and of at most ``FAN_IN`` tasks at a time.
 
 Scoring takes counts of the ``FREQUENT`` most frequent words, at most, along to
 the texts. Rarer words are looked up by a join on their hash, so the vocabulary
@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lakeloom.llm import words as W
@@ -48,6 +49,8 @@ FREQUENT = 1 << 18
 END, START = np.uint64(1), np.uint64(2)
 BLOCK = 16_384  # tokens of a gradient step
 PART_ROWS = 4096  # rows of the weight table that are summed together
+FAN_IN = 64  # tasks whose changes are summed in one place
+CHANGES = "part long, task long, tokens double, change binary"
 
 
 @dataclass
@@ -198,9 +201,9 @@ def _trainer(sent, step: float):
         if n:
             parts = range(0, ROWS, PART_ROWS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(parts)), pa.array([float(n)] * len(parts)),
+                [pa.array(list(parts)), pa.array([TaskContext.get().partitionId()] * len(parts)), pa.array([float(n)] * len(parts)),
                  pa.array([((weights - start)[p:p + PART_ROWS]).astype(np.float16).tobytes() for p in parts], pa.binary())],
-                names=["part", "tokens", "change"])
+                names=["part", "task", "tokens", "change"])
 
     return train
 
@@ -209,7 +212,17 @@ def _summed(group: pa.Table) -> pa.Table:
     """The token-weighted mean of a part's changes."""
     weights = group["tokens"].to_numpy()
     total = sum(w * np.frombuffer(c.as_py(), np.float16).astype(np.float64) for w, c in zip(weights, group["change"]))
-    return pa.table({"part": group["part"][:1], "change": pa.array([(total / weights.sum()).astype(np.float32).tobytes()], pa.binary())})
+    mean = (total / weights.sum()).astype(np.float16).tobytes()
+    return pa.table({"part": group["part"][:1], "task": group["task"][:1], "tokens": [weights.sum()], "change": pa.array([mean], pa.binary())})
+
+
+def averaged(changes: DataFrame, tasks: int) -> DataFrame:
+    """One change per part, from those of ``tasks`` tasks, at most ``FAN_IN`` of them together in each step."""
+    while True:
+        changes = changes.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy("part", "task").applyInArrow(_summed, CHANGES)
+        tasks = -(-tasks // FAN_IN)
+        if tasks <= 1:
+            return changes
 
 
 def counted(training: DataFrame, text: str = "text") -> DataFrame:
@@ -256,11 +269,10 @@ def train(training: DataFrame, counts: DataFrame, text: str = "text", rounds: in
     for turn in range(rounds if n else 0):
         sent = context.broadcast((own, weights))  # its size is fixed by the parameters
         part = training.where(F.pmod(F.xxhash64(filled(text)), F.lit(rounds)) == turn).select(filled(text).alias("text"))
-        changes = part.mapInArrow(_trainer(sent, step), "part long, tokens double, change binary")
-        mean = changes.groupBy("part").applyInArrow(_summed, "part long, change binary").toArrow()  # the weight table, once
+        mean = averaged(part.mapInArrow(_trainer(sent, step), CHANGES), part.rdd.getNumPartitions()).toArrow()  # the weight table, once
         weights = weights.copy()
         for at, change in zip(mean["part"].to_pylist(), mean["change"]):
-            rows = np.frombuffer(change.as_py(), np.float32).reshape(-1, CLASSES)
+            rows = np.frombuffer(change.as_py(), np.float16).reshape(-1, CLASSES)
             weights[at:at + len(rows)] += rows
     return Model(n, distinct, own, Lookup(hashes), c, in_class, totals.tolist(), discounts.tolist(), unknown.tolist(), weights)
 
@@ -272,7 +284,7 @@ def _scorer(sent, keys: list[str]):
         m: Model = sent.value
         base_of = np.log10((m.counts + 0.1) / (m.n + 0.1 * (m.distinct + 1)))
         for batch in batches:
-            for part, texts in W.slices(batch):
+            for part, texts in W.slices(batch, "_text"):
                 t = tokens(texts, m.own)
                 features, logs = t.features(), np.empty(len(t.classes))
                 for a in range(0, len(logs), BLOCK):
@@ -304,8 +316,8 @@ def _scorer(sent, keys: list[str]):
 def score(docs: DataFrame, counts: DataFrame, model: Model, keys: tuple[str, ...], text: str = "text") -> DataFrame:
     """Columns ``keys``, n_tokens, n_known, train_tokens, base_score, score (log10) for every row."""
     spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), *keys, filled(text).alias("text"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("text").schema)
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), *keys, filled(text).alias("_text"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("_text").schema)
     sums = rows.mapInArrow(
         _scorer(spark.sparkContext.broadcast(model), ["_row", *keys]),
         f"{schema}, n_tokens long, known long, base double, logs double, hashes array<long>, classes array<long>, times array<long>")
