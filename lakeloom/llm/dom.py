@@ -92,9 +92,7 @@ def read(html: str) -> Page:
         elif not silent and raw and page.runs:
             page.runs.append((block, stack[-1][1], " ", False))
 
-    for m in _token.finditer(html):
-        if m.start() < at:
-            continue
+    while m := _token.search(html, at):  # from where the last one ended: raw content is passed over and never read as markup
         if m.start() > at:
             text(html[at:m.start()])
         at = m.end()
