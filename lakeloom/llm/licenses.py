@@ -105,8 +105,9 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] | None = None, key:
         signed = windows.select("*", F.posexplode("bands").alias("band", "value")).drop("bands")
         lists = known.where(F.col("n") == n).select(
             "template", "length", "exact", F.posexplode(bands(F.col("hashes"))).alias("band", "value"))
+        # a window that meets in several bands is verified once; windows of other words stay apart, whatever their key
         # BANDS rows for each of the templates, whose list the caller holds in memory: they go to the windows, not the windows to them
-        pairs = signed.join(F.broadcast(lists), ["length", "band", "value"]).dropDuplicates([key, "template", "low"])
+        pairs = signed.join(F.broadcast(lists), ["length", "band", "value"]).dropDuplicates([key, "template", "low", "words"])
         here = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - n + 1)), lambda i: F.array_join(F.slice("words", i, n), " "))
         share = F.size(F.array_intersect("exact", here)) / F.size("exact")
         found.append(pairs.select(key, "template", share.alias("containment"), F.col("low").alias("first_word"), F.size("words").alias("n_words")))
