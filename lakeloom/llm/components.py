@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lakeloom.llm.common import saved
+from lakeloom.operators.joins import placed_anew
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -21,7 +22,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     else:
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = both.join(least, "u")
+    joined = both.join(placed_anew(least, ["u"]), "u")  # so that AQE can split a hub
     if large:
         moved = joined.where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
     else:
