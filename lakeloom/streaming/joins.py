@@ -7,6 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakeloom.operators.joins import salted_join
 
 
+def within_time(fact_time: str, entity_time: str, within: str) -> Column:
+    """A fact lies in the time ``within`` after the entity, both ends included."""
+    return (F.col(fact_time) >= F.col(entity_time)) & (F.col(fact_time) <= F.col(entity_time) + F.expr(f"INTERVAL {within}"))
+
+
 def join_streams(
     facts: DataFrame, entities: DataFrame, on: Column, spread_on: list[str], salt: int = 8,
     times: tuple[str, str] | None = None, within: str = "1 hour", lateness: str = "10 minutes",
@@ -21,6 +26,5 @@ def join_streams(
     if times:
         fact_time, entity_time = times
         facts, entities = facts.withWatermark(fact_time, lateness), entities.withWatermark(entity_time, lateness)
-        span = F.expr(f"INTERVAL {within}")
-        on = on & (F.col(fact_time) >= F.col(entity_time)) & (F.col(fact_time) <= F.col(entity_time) + span)
+        on = on & within_time(fact_time, entity_time, within)
     return salted_join(facts, entities, on, spread_on, "inner", salt) if salt > 1 else facts.join(entities, on)

@@ -11,10 +11,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 PARTITIONS = "spark.sql.shuffle.partitions"
 
 
-def finish(query: StreamingQuery, timeout: float | None = None, observed: dict[str, dict[str, int]] | None = None) -> int:
+def finish(
+    query: StreamingQuery, timeout: float | None = None, observed: dict[str, dict[str, int]] | None = None,
+    state: dict[str, int] | None = None,
+) -> int:
     """Wait for an available-now query; rows read. Past the timeout, stop it and fail.
 
     ``observed`` takes the sums over all batches of what ``DataFrame.observe`` counted, by name.
+    ``state`` takes ``rows``, the rows that the stateful operators hold after the last batch.
     """
     deadline = time.monotonic() + timeout if timeout else float("inf")
     rows: dict[int, int] = {}
@@ -29,6 +33,8 @@ def finish(query: StreamingQuery, timeout: float | None = None, observed: dict[s
         if not done and time.monotonic() >= deadline:
             query.stop()
             raise TimeoutError(f"stream still running after {timeout} s")
+    if state is not None and query.lastProgress:
+        state["rows"] = sum(operator.numRowsTotal for operator in query.lastProgress.stateOperators)
     if observed is not None:
         for (name, _), found in counts.items():
             total = observed.setdefault(name, {})
@@ -39,7 +45,7 @@ def finish(query: StreamingQuery, timeout: float | None = None, observed: dict[s
 
 def run(
     writer: DataStreamWriter, checkpoint: str, timeout: float | None = None, state_partitions: int | None = None,
-    observed: dict[str, dict[str, int]] | None = None,
+    observed: dict[str, dict[str, int]] | None = None, state: dict[str, int] | None = None,
 ) -> int:
     """Process everything that has arrived since the checkpoint, then end.
 
@@ -49,7 +55,7 @@ def run(
     """
     due = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if state_partitions is None:
-        return finish(due.start(), timeout, observed)
+        return finish(due.start(), timeout, observed, state)
     conf = SparkSession.active().conf
     usual = conf.get(PARTITIONS)
     conf.set(PARTITIONS, str(state_partitions))
@@ -57,18 +63,18 @@ def run(
         query = due.start()  # the query keeps a copy of the settings
     finally:
         conf.set(PARTITIONS, usual)
-    return finish(query, timeout, observed)
+    return finish(query, timeout, observed, state)
 
 
 def run_to_table(
     stream: DataFrame, target: str, checkpoint: str, partition_by: list[str] = (), timeout: float | None = None,
-    state_partitions: int | None = None, observed: dict[str, dict[str, int]] | None = None,
+    state_partitions: int | None = None, observed: dict[str, dict[str, int]] | None = None, state: dict[str, int] | None = None,
 ) -> int:
     """Append a stream to a parquet table, each input row once; rows read."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", target)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return run(writer, checkpoint, timeout, state_partitions, observed)
+    return run(writer, checkpoint, timeout, state_partitions, observed, state)
 
 
 def run_to_view(

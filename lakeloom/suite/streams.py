@@ -13,6 +13,8 @@ from lakeloom.sources.ingest import file_stream, ingest_schema, load_new_files,
 from lakeloom.streaming import run
 from lakeloom.streaming.changes import apply_changes_stream, compact_log, current_state
 from lakeloom.streaming.joins import join_streams
+from lakeloom.streaming.updates import compact_updates, read_updates, rows_per_batch, run_updates
+from lakeloom.streaming.windows import closed_windows, window_report
 from lakeloom.suite.base import query, settled, table
 from lakeloom.suite.standins import CHANGE_FEED, EMAIL, change_feed, users
 from lakeloom.suite.table_changes import STATE
@@ -180,6 +182,33 @@ def complete_mode(spark, sf):
     return arrivals(spark, event_rows(spark, sf), HALF, step)
 
 
+def _updated_totals(spark, sf, job):
+    def step(folder):
+        totals = file_stream(spark, folder, "json", EVENT_SCHEMA).groupBy("user_id").agg(
+            F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
+        )
+        run_updates(totals, job.out(), job.checkpoint(), state_partitions=job.states)
+
+    arrivals(spark, event_rows(spark, sf), HALF, step)
+
+
+@query("K12_update_mode", "SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY user_id")
+def update_mode(spark, sf):
+    # only changed groups are written; the log and its compacted form, read together, say the same
+    job = Job(spark, "updated")
+    _updated_totals(spark, sf, job)
+    compact_updates(spark, job.out(), job.out("compacted"), ["user_id"])
+    return read_updates(spark, [job.out("compacted"), job.out()], ["user_id"])
+
+
+@query("K12_update_rows", """SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS batch, count(DISTINCT user_id) AS rows_written
+    FROM events GROUP BY 1""")
+def update_rows(spark, sf):
+    job = Job(spark, "update_rows")
+    _updated_totals(spark, sf, job)
+    return rows_per_batch(spark, job.out())
+
+
 @query("K13_append_sink", "SELECT event_type AS event_name, event_id FROM events")
 def append_sink(spark, sf):
     job = Job(spark, "append")
@@ -226,6 +255,48 @@ def stream_window(spark, sf):
     return counts.select("event_name", F.date_format("w.start", STAMP).alias("start_time"), F.col("count").alias("n"))
 
 
+# one early event in twenty comes with the second arrival, when most of its windows are closed
+_ON_TIME = f"{HALF} AND event_id % 20 <> 0"
+
+
+def _windows_sql(width):
+    """timed: each event with its window and whether it came too late for it; bounds: the watermark after each arrival."""
+    return f"""arrived AS (SELECT *, ts < TIMESTAMP '2024-01-16' AND event_id % 20 <> 0 AS on_time, time_bucket(INTERVAL '{width}', ts) AS start,
+          time_bucket(INTERVAL '{width}', ts) + INTERVAL '{width}' AS finish FROM events),
+        bounds AS (SELECT max(ts) FILTER (WHERE on_time) - INTERVAL '1 day' AS first, max(ts) - INTERVAL '1 day' AS last FROM arrived),
+        timed AS (SELECT arrived.*, NOT on_time AND finish <= first AS late, finish <= last AS closed FROM arrived, bounds)"""
+
+
+def _closed(spark, sf, job, width, keys, aggregates):
+    arrived = []
+
+    def step(folder):
+        events = timed(file_stream(spark, folder, "json", EVENT_SCHEMA))
+        windows = closed_windows(events, "event_time", keys, width, aggregates, lateness="1 day")
+        arrived.append(run.run_to_table(windows, job.out(), job.checkpoint(), state_partitions=job.states))
+
+    arrivals(spark, event_rows(spark, sf), _ON_TIME, step)
+    return sum(arrived)
+
+
+@query("W01_closed_windows", f"""WITH {_windows_sql("1 minute")} SELECT event_type AS event_name, strftime(start, '%Y-%m-%d %H:%M:%S') AS start_time,
+    count(*) AS n FROM timed WHERE closed AND NOT late GROUP BY 1, 2""")
+def closed_minutes(spark, sf):
+    job = Job(spark, "closed_minutes")
+    _closed(spark, sf, job, "1 minute", ["event_name"], [])
+    return spark.read.parquet(job.out()).select("event_name", F.date_format("window.start", STAMP).alias("start_time"), F.col("rows").alias("n"))
+
+
+@query("W01_window_report", f"""WITH {_windows_sql("6 hours")} SELECT count(*) AS arrived, count(*) FILTER (WHERE closed AND NOT late) AS published,
+    count(*) FILTER (WHERE NOT closed) AS waiting, count(*) FILTER (WHERE late) AS late,
+    count(DISTINCT (event_type, start)) FILTER (WHERE closed AND NOT late) AS closed_windows,
+    count(DISTINCT (event_type, start)) FILTER (WHERE NOT closed) AS open_windows FROM timed""")
+def report_of_windows(spark, sf):
+    job = Job(spark, "window_report")
+    arrived = _closed(spark, sf, job, "6 hours", ["event_name"], [])
+    return window_report(spark, job.out(), job.checkpoint(), arrived)
+
+
 @query("W03_raw_stream_sql", "SELECT event_id, event_type AS event_name, strftime(ts, '%b-%d %H:%M') AS at FROM events")
 def raw_stream_sql(spark, sf):
     job, view = Job(spark, "raw"), view_name("raw")
@@ -332,6 +403,44 @@ def stream_daily_mean(spark, sf):
     return means.select("user_id", F.col("day").cast("string").alias("day"), settled(F.col("mean_value")).alias("mean_value"))
 
 
+@query("W09_closed_days", f"""WITH {_windows_sql("1 day")} SELECT user_id, strftime(start, '%Y-%m-%d') AS day, round(avg(value) + 1e-9, 4) AS mean_value
+    FROM timed WHERE closed AND NOT late GROUP BY 1, 2""")
+def closed_days(spark, sf):
+    job = Job(spark, "closed_days")
+    _closed(spark, sf, job, "1 day", ["user_id"], [F.avg("value").alias("mean_value")])
+    return spark.read.parquet(job.out()).select(
+        "user_id", F.date_format("window.start", "yyyy-MM-dd").alias("day"), settled(F.col("mean_value")).alias("mean_value"))
+
+
+def _updated_days(spark, sf, job, state):
+    def step(folder):
+        events = timed(file_stream(spark, folder, "json", EVENT_SCHEMA))
+        daily = closed_windows(events, "event_time", ["user_id"], "1 day", [F.avg("value").alias("mean_value")], lateness="1 day")
+        run_updates(daily, job.out(), job.checkpoint(), state_partitions=job.states, state=state)
+
+    arrivals(spark, event_rows(spark, sf), HALF, step)
+
+
+@query("W09_updated_days", """SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, round(avg(value) + 1e-9, 4) AS mean_value FROM events GROUP BY 1, 2""")
+def updated_days(spark, sf):
+    # open days are shown too, as they stand
+    job = Job(spark, "updated_days")
+    _updated_days(spark, sf, job, {})
+    return read_updates(spark, job.out(), ["user_id", "window"]).select(
+        "user_id", F.date_format("window.start", "yyyy-MM-dd").alias("day"), settled(F.col("mean_value")).alias("mean_value"))
+
+
+@query("W09_update_cost", """WITH days AS (SELECT DISTINCT user_id, date_trunc('day', ts) AS day, ts < TIMESTAMP '2024-01-16' AS early FROM events)
+    SELECT count(*) AS rows_written, count(DISTINCT (user_id, day)) AS groups, count(DISTINCT (user_id, day)) FILTER
+      (WHERE day + INTERVAL '1 day' > (SELECT max(ts) - INTERVAL '1 day' FROM events)) AS groups_in_state FROM days""")
+def update_cost(spark, sf):
+    job, state = Job(spark, "update_cost"), {}
+    _updated_days(spark, sf, job, state)
+    groups = read_updates(spark, job.out(), ["user_id", "window"]).agg(F.count("*").alias("groups"))
+    written = rows_per_batch(spark, job.out()).agg(F.sum("rows_written").alias("rows_written"))
+    return written.join(groups).select("rows_written", "groups", F.lit(state["rows"]).cast("bigint").alias("groups_in_state"))
+
+
 CDC_SCHEMA = "customer_id bigint, name string, email string, state string, operation string, seq_us bigint, seq_id bigint"
 
 
@@ -395,6 +504,44 @@ def stream_stream(spark, sf):
     return arrivals(spark, event_rows(spark, sf), HALF, step)
 
 
+# an event and the sign-ups of its user in the two days before it
+_PAIRS = """SELECT a.event_id, b.event_id AS signup_id, a.user_id FROM events AS a JOIN events AS b
+    ON a.user_id = b.user_id AND a.event_type <> 'signup' AND b.event_type = 'signup' AND a.ts >= b.ts AND a.ts <= b.ts + INTERVAL '2 days'"""
+
+
+def _in_time(spark, sf, job, state):
+    def step(folder):
+        facts = timed(file_stream(spark, folder, "json", EVENT_SCHEMA)).where("event_name <> 'signup'")
+        signups = timed(file_stream(spark, folder, "json", EVENT_SCHEMA)).where("event_name = 'signup'").select(
+            F.col("event_id").alias("signup_id"), F.col("user_id").alias("member"), F.col("event_time").alias("seen_at"))
+        pairs = join_streams(
+            facts, signups, F.col("user_id") == F.col("member"), ["event_id"], times=("event_time", "seen_at"), within="2 days", lateness="1 hour")
+        run.run_to_table(pairs.select("event_id", "signup_id", "user_id"), job.out(), job.checkpoint(), state_partitions=job.states, state=state)
+
+    arrivals(spark, event_rows(spark, sf), HALF, step)
+    return spark.read.parquet(job.out())
+
+
+@query("J07_in_time", _PAIRS)
+def streams_in_time(spark, sf):
+    return _in_time(spark, sf, Job(spark, "in_time"), {})
+
+
+@query("J07_in_time_state", f"""WITH pairs AS ({_PAIRS}) SELECT count(*) AS pairs, (SELECT count(*) FROM events) AS arrived, TRUE AS state_is_bounded FROM pairs""")
+def state_in_time(spark, sf):
+    # facts of the last hour and sign-ups of the last two days and an hour, each in eight copies, can still meet
+    job, state = Job(spark, "in_time_state"), {}
+    pairs = _in_time(spark, sf, job, state).agg(F.count("*").alias("pairs"))
+    last = F.max(F.when(F.col("event_name") != "signup", F.col("time_us"))), F.max(F.when(F.col("event_name") == "signup", F.col("time_us")))
+    bound = F.least(*last) - 3_600_000_000
+    rows = event_rows(spark, sf)
+    ends = rows.agg(bound.alias("bound"), F.count("*").alias("arrived"))
+    can_meet = rows.join(ends).agg(F.sum(
+        F.when(F.col("event_name") != "signup", (F.col("time_us") >= F.col("bound")).cast("int"))
+        .otherwise(8 * (F.col("time_us") >= F.col("bound") - 2 * 86_400_000_000).cast("int"))).alias("can_meet"))
+    return pairs.join(ends.select("arrived")).join(can_meet).select("pairs", "arrived", (F.lit(state["rows"]) <= F.col("can_meet")).alias("state_is_bounded"))
+
+
 @query("E03_fail_update", "SELECT TRUE AS stopped, 0 AS committed_by_failure, count(*) AS committed_after_fix FROM events")
 def fail_update(spark, sf):
     job = Job(spark, "failed")

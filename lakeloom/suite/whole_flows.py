@@ -220,6 +220,33 @@ def recordings_flow(spark, sf):
     return daily.withColumns({"date": F.col("date").cast("string"), "avg_heartrate": settled(F.col("avg_heartrate"))})
 
 
+_ADMISSIONS = """SELECT a.user_id AS mrn, c_name AS name, strftime(a.ts, '%Y-%m-%d') AS date, round(avg(a.value) + 1e-9, 4) AS avg_heartrate
+    FROM events AS a JOIN events AS b ON a.user_id = b.user_id AND b.event_type = 'signup' AND a.ts >= b.ts AND a.ts <= b.ts + INTERVAL '2 days'
+    JOIN customer ON b.user_id = c_custkey WHERE a.event_type <> 'error' AND a.value > 0 GROUP BY 1, 2, 3"""
+
+
+def admissions(spark, sf):
+    """A patient's admissions: the user's sign-ups, with the time as epoch seconds."""
+    signups = table(spark, sf, "events").where("event_type = 'signup'")
+    return signups.join(table(spark, sf, "customer"), F.col("user_id") == F.col("c_custkey")).select(
+        F.col("user_id").alias("mrn"), F.col("c_name").alias("name"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("admitted"))
+
+
+@query("L05_recordings_in_time", _ADMISSIONS)
+def recordings_in_time(spark, sf):
+    # recordings of up to two days after an admission; both feeds come in two arrivals
+    out, patients = scratch_dir(spark, "recordings_in_time"), scratch_dir(spark, "admissions")
+    came = iter(("admitted < 1705363200", "admitted >= 1705363200"))
+
+    def step(feed):
+        admissions(spark, sf).where(next(came)).write.mode("append").option("header", True).csv(patients)
+        return recordings.update(
+            spark, feed, patients, out, state_partitions=spark.sparkContext.defaultParallelism, within="2 days", lateness="1 hour")
+
+    daily = arrivals(spark, recording_feed(spark, sf), "time < 1705363200", step, odd=True)
+    return daily.withColumns({"date": F.col("date").cast("string"), "avg_heartrate": settled(F.col("avg_heartrate"))})
+
+
 @query("L05_recordings_batch", _RECORDINGS)
 def recordings_batch(spark, sf):
     patients = table(spark, sf, "customer").selectExpr("c_custkey AS mrn", "c_name AS name")
