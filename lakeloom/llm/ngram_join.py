@@ -22,7 +22,7 @@ Every filter follows from the bound, so none loses a link:
 Each pair is then verified once on the sets, with a node of many partners dealt out.
 A group of near copies costs its size and not its pairs: first the nodes of a list are
 compared with the one that has the fewest shingles of its own, which most copies are
-closest to; then only nodes that are still in different components meet.
+closest to; then only nodes that were linked with different ones meet.
 """
 
 from __future__ import annotations
@@ -152,12 +152,13 @@ def _may_link(a: str, b: str, part: int, of: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, part: int, of: int) -> DataFrame:
-    """The pairs (a, b) that link. A node with many partners is dealt out over ``SLOTS`` copies of its set."""
+    """The pairs (a, b) that link, all columns kept. A node with many partners is dealt out over ``SLOTS`` copies of its set."""
+    columns = pairs.columns
     pairs = pairs.withColumn("slot", F.pmod(F.xxhash64("b"), F.lit(SLOTS)))
     heads = pairs.select("a", "slot").distinct().join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("ours")), "a")
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("theirs")), "b").join(placed_anew(heads, ["a", "slot"]), ["a", "slot"])
     shared = F.size(F.array_intersect("ours", "theirs")).cast("long")
-    return both.where(of * shared >= part * (F.size("ours") + F.size("theirs") - shared)).select("a", "b")
+    return both.where(of * shared >= part * (F.size("ours") + F.size("theirs") - shared)).select(*columns)
 
 
 def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -168,25 +169,29 @@ def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 def links_of(index: DataFrame, sets: DataFrame, part: int, of: int) -> DataFrame:
     """Links (a, b) between nodes, enough for all components. ``index``: what ``prefixes`` gives, saved."""
-    ends = F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
     entry = F.struct("alone", "node", "n", "left", *_SIGNS)
     centres = index.groupBy("shingle", "size_class").agg(F.min(entry).alias("c")).select("shingle", "size_class", "c.*")
-    met = index.alias("a").join(
-        placed_anew(centres, ["shingle", "size_class"]).alias("b"),
+    met = index.alias("b").join(
+        placed_anew(centres, ["shingle", "size_class"]).alias("a"),
         (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.size_class") == F.col("b.size_class")) & (F.col("a.node") != F.col("b.node")) & _may_link("a", "b", part, of))
-    first = saved(met.select(*ends).distinct(), "pairs")
+    first = saved(met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.alone").alias("alone")).distinct(), "pairs")
     links = saved(verified(first, sets, part, of), "similar")
 
-    parted = rooted(index, links)
-    torn = parted.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("shingle")
+    # a node goes by the best centre it is linked with; parts of one component that go by two names only meet again
+    named = links.groupBy("b").agg(F.min(F.struct("alone", "a")).alias("best")).select(F.col("b").alias("node"), F.col("best.a").alias("centre"))
+    parted = index.join(placed_anew(named, ["node"]), "node", "left").withColumn("name", F.coalesce("centre", "node")).drop("centre")
+    torn = parted.groupBy("shingle").agg(F.min("name").alias("least"), F.max("name").alias("most")).where("least <> most").select("shingle")
     parted = saved(parted.join(placed_anew(torn, ["shingle"]), "shingle", "left_semi"), "parted")
     larger = parted.withColumn("size_class", F.explode(F.array(F.col("size_class"), F.col("size_class") - 1)))
     met = parted.alias("a").join(
         larger.alias("b"),
-        (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.size_class") == F.col("b.size_class")) & (F.col("a.root") != F.col("b.root"))
+        (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.size_class") == F.col("b.size_class")) & (F.col("a.name") != F.col("b.name"))
         & (F.struct("a.n", "a.node") < F.struct("b.n", "b.node")) & _may_link("a", "b", part, of))
-    pairs = saved(met.select(*ends).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    return saved(links.unionByName(verified(pairs, sets, part, of)), "similar")
+    # pairs keep the order of centres: the node with fewer shingles of its own first
+    ahead = F.struct("a.alone", "a.node") < F.struct("b.alone", "b.node")
+    pairs = met.select(F.when(ahead, F.col("a.node")).otherwise(F.col("b.node")).alias("a"), F.when(ahead, F.col("b.node")).otherwise(F.col("a.node")).alias("b")).distinct()
+    pairs = saved(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
+    return saved(links.select("a", "b").unionByName(verified(pairs, sets, part, of)), "similar")
 
 
 def similar_rows(rows: DataFrame, key: str, text: str, size: int, part: int, of: int) -> DataFrame:
