@@ -23,8 +23,12 @@ ENDS = {
     "tr": (("tr", "td", "th", "caption"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
     "tbody": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption"), ("table",)),
     "tfoot": (("thead", "tbody", "tr", "td", "th"), ("table",)), "thead": (("caption",), ("table",)),
-    "option": (("option",), ("select", "datalist")), "body": (("head",), ("html",)),
+    "option": (("option",), ("select", "datalist")), "body": (("head",), ("html",)), "button": (("button",), ("table", "html")),
 }
+#: What may stand in a head. Anything else, text included, ends a head whose end tag was left out.
+IN_HEAD = frozenset("html head title base link meta style script noscript template basefont bgsound".split())
+#: Blocks that stand in a list of choices; any other ends the list.
+IN_SELECT = frozenset("option optgroup hr".split())
 P_BORDERS = ("table", "td", "th", "caption", "button", "object", "html")
 CLOSES_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "html", "body", "legend"}
 
@@ -86,7 +90,17 @@ def read(html: str) -> Page:
         if last:
             pop(last)
 
+    unended: set[str] = set()  # silent elements without an end tag
+    last_end: dict[str, int] = {}  # per silent element, where its last end tag stands
+
+    def has_end(name: str, after: int) -> bool:
+        if name not in last_end:
+            last_end[name] = max((m.start() for m in re.finditer(f"</{re.escape(name)}(?=[\\s/>])", html, re.I)), default=-1)
+        return last_end[name] >= after
+
     def text(raw: str) -> None:
+        if stack[-1][0] == "head" and not raw.isspace():
+            close(("head",), ())
         if not silent and raw and not raw.isspace():
             page.runs.append((block, stack[-1][1], unescape(raw) if "&" in raw else raw, links > 0))
         elif not silent and raw and page.runs:
@@ -114,6 +128,12 @@ def read(html: str) -> Page:
             close(("p",), P_BORDERS)
         if name in ENDS:
             close(*ENDS[name])
+        if name not in IN_HEAD and stack[-1][0] == "head":
+            close(("head",), ())
+        if name in BLOCKS and name not in IN_SELECT:
+            close(("select", "datalist", *unended), ("html",))
+        if name in SILENT and name not in RAW and name not in BLOCKS and name != "head" and not has_end(name, at):
+            unended.add(name)  # its content ends with its parent or at the next block
         if name == "br" or name == "hr":
             if name == "hr":
                 block += 1

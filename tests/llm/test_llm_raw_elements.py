@@ -19,3 +19,33 @@ def test_markup_in_raw_elements_takes_nothing_of_what_follows(raw):
 
 def test_a_raw_element_without_an_end_takes_the_rest():
     assert [t for _, _, t, _ in read("<p>a</p><script>i<n <p>b</p>").runs] == ["a"]
+
+
+ARTICLE = "<article><p>before</p><p>the main text</p></article>"
+MAIN = ["before", "the main text"]
+
+
+@pytest.mark.parametrize("html", [
+    f"<html><head><title>t</title>{ARTICLE}</html>",
+    f"<html><head><title>t</title><meta charset=utf-8><script>i<n</script>{ARTICLE}</body></html>",
+    f"<head><title>t</title><link rel=x>\n{ARTICLE}",
+    f"<title>t</title>{ARTICLE}",
+    f"<body><div><select><option>a<option>b</div>{ARTICLE}",
+    f"<body><select><option>a<option>b{ARTICLE}",
+    f"<body><button>press{ARTICLE}",
+    f"<body><div><button>press</div>{ARTICLE}",
+    f"<body><object data=x>{ARTICLE}",
+    f"<body><video src=x>{ARTICLE}",
+    f"<body><button>a<button>b</button>{ARTICLE}",
+])
+def test_omitted_end_tags_take_no_main_text(html):
+    assert [t for _, _, t, _ in read(html).runs if t.strip()] == MAIN
+
+
+def test_text_right_after_a_head_is_text():
+    assert [t for _, _, t, _ in read("<head><title>t</title>the main text").runs] == ["the main text"]
+
+
+def test_ended_silent_elements_stay_silent():
+    html = "<body><video><p>no</p></video><select><option>no</select><button>no</button><object><p>no</p></object><p>yes</p>"
+    assert [t for _, _, t, _ in read(html).runs] == ["yes"]
