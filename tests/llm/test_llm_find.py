@@ -108,6 +108,38 @@ def test_leaks(spark):
     assert dc.drop_leaks(frame, benchmark.limit(0)).count() == frame.count()
 
 
+def altered(words, at):
+    return [f"zz{i}q" if i in at else w for i, w in enumerate(words)]
+
+
+@pytest.mark.parametrize("rarest", [False, True])
+def test_recall_of_altered_items(spark, rarest):
+    """Both rules, on all items: words replaced at random, and the rarest ones as a paraphrase does."""
+    import random
+
+    r = random.Random(4)
+    items, docs = dc.table(spark, SF, "benchmark"), dc.table(spark, SF, "documents").select("doc_id", "text")
+    idf = dc.inverse_frequencies(docs)
+    hosts, rows, want = [x.text for x in docs.where("length(text) between 1500 and 3000").collect()], [], set()
+    for item, text in items.collect():
+        words, answer = text.split(), dc.answer_of(text)
+        rare = dict(zip(words, idf[dc._buckets(dc.W.split([text], lower=True).hashes())]))
+        for part, keep in ((0.18, 0), (0.38, len(answer) if len(answer) >= 3 else len(words))):
+            body = list(range(len(words) - keep))
+            n = min(len(body), int(part * len(words)))
+            at = sorted(body, key=lambda i: -rare[words[i]])[:n] if rarest else r.sample(body, n)
+            host, new = r.choice(hosts).split(), altered(words, set(at))
+            cut = r.randrange(len(host))
+            ids = {w: i for i, w in enumerate({*words, *new})}
+            share = dc.longest_common([ids[w] for w in words], [ids[w] for w in new]) / len(words)
+            if n and (share >= 0.8 or keep and keep < len(words) and share >= 0.6):
+                rows.append((10**9 + len(rows), " ".join([*host[:cut], *new, *host[cut:]])))
+                want.add((rows[-1][0], item))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs)
+    got = {(x.doc_id, x.item_id) for x in dc.leaks(frame, items).collect()}
+    assert len(want) > 50 and len(want & got) >= 0.98 * len(want)
+
+
 def test_recall_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 350").collect()
     items = [(r.item_id, r.text.lower().split()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
