@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from lakeloom.operators.joins import placed_anew
+
 
 #: What counts as an e-mail address: one @, no spaces, and a dot before the last letters.
 EMAIL_PATTERN = "^[^@ ]+@[^@ ]+[.][A-Za-z]{2,}$"
@@ -97,10 +98,25 @@ def progress_events(report: DataFrame, update_id: str, at: str) -> DataFrame:
 def record_counts(spark: SparkSession, log: str, dataset: str, rules: list[Rule], counts: dict[str, int], update_id: str) -> None:
     """Add to the event log in folder ``log`` what an update of a dataset observed: rows, and broken rows per rule."""
     rows = counts.get("rows", 0)
-    entries = [(update_id, r.name, dataset, rows - counts.get(r.name, 0), counts.get(r.name, 0)) for r in rules]
-    report = spark.createDataFrame(entries, "update_id string, name string, dataset string, passed_records long, failed_records long")
-    events = progress_events(report.withColumn("at", F.current_timestamp()), "update_id", "at")
-    events.coalesce(1).write.mode("append").parquet(log)
+    entries = [{"name": r.name, "dataset": dataset, "passed_records": rows - counts.get(r.name, 0), "failed_records": counts.get(r.name, 0)} for r in rules]
+    counted = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in e.items())) for e in sorted(entries, key=lambda e: e["name"])))
+    progress = F.struct(F.struct(F.struct(counted.alias("expectations")).alias("data_quality")).alias("flow_progress"))
+    log_events(spark, log, update_id, {"flow_progress": F.to_json(progress)})
+
+
+def log_events(spark: SparkSession, log: str, update_id: str, details: dict[str, Column]) -> None:
+    """Add events of an update (kind: JSON details) to the event log in folder ``log``."""
+    kinds = F.inline(F.array(*(F.struct(F.lit(kind).alias("event_type"), detail.alias("details")) for kind, detail in details.items())))
+    rows = spark.range(1).select(kinds).select(
+        "event_type", F.current_timestamp().alias("timestamp"), F.struct(F.lit(update_id).alias("update_id")).alias("origin"), "details")
+    rows.coalesce(1).write.mode("append").parquet(log)
+
+
+def record_start(spark: SparkSession, log: str, dataset: str, inputs: list[str], update_id: str) -> None:
+    """Add to the event log who has started an update, and what the dataset is made of."""
+    action = F.struct(F.struct(F.lit("START").alias("action"), F.current_user().alias("user_name")).alias("user_action"))
+    lineage = F.struct(F.struct(F.lit(dataset).alias("output_dataset"), F.array(*map(F.lit, inputs)).alias("input_datasets")).alias("flow_definition"))
+    log_events(spark, log, update_id, {"user_action": F.to_json(action), "flow_definition": F.to_json(lineage)})
 
 
 def latest_update(log: DataFrame) -> DataFrame:
@@ -150,23 +166,21 @@ def check_table(
     )
 
 
-def masked_view(
-    df: DataFrame, masks: dict[str, Column], members: DataFrame, group: str, readers: DataFrame, row_filter: str | None = None
+def policy_view(
+    df: DataFrame, readers: DataFrame, on: str, masks: dict[str, Column], members: DataFrame, group: str, row_filter: str | None = None
 ) -> DataFrame:
-    """What each reader gets: all of the table if the membership table has the reader in the group, else masked
-    columns and permitted rows only.
+    """What each reader gets of the rows that share its value of ``on``: all of them if the membership table has the
+    reader in the group, else the permitted ones with masked columns.
 
-    ``members`` has the columns user and group, ``readers`` the column user: a
-    few readers, whose membership is one join. The rows of a reader are found by
-    a filter, not by a join, so the view of one reader is one scan.
+    ``readers`` has the columns user and ``on``, ``members`` user and group. Membership is looked up inside the
+    plan, once per reader, and decides row by row: one scan, and no reader reaches the driver.
     """
     inside = members.where(F.col("group") == group).select("user").distinct().withColumn("_inside", F.lit(True))
-    known = readers.distinct().join(inside, "user", "left").select("user", F.coalesce("_inside", F.lit(False)).alias("inside")).collect()
-    views = []
-    for reader in sorted(known):
-        seen = df if reader["inside"] else df.where(row_filter or "true").withColumns(masks)
-        views.append(seen.withColumn("user", F.lit(reader["user"])))
-    return reduce(DataFrame.unionByName, views) if views else df.limit(0).withColumn("user", F.lit(None).cast("string"))
+    known = readers.select("user", on).distinct().join(placed_anew(inside, ["user"]), "user", "left")
+    seen = df.join(known.withColumn("_inside", F.coalesce("_inside", F.lit(False))), on)
+    permitted = F.coalesce(F.expr(row_filter), F.lit(False)) if row_filter else F.lit(True)
+    shown = {c: F.when(F.col("_inside"), F.col(c)).otherwise(mask) for c, mask in masks.items()}
+    return seen.where(F.col("_inside") | permitted).withColumns(shown).drop("_inside")
 
 
 def partial_mask(column: str, shown: int = 2) -> Column:

@@ -9,6 +9,7 @@ from lakeloom.operators.quality import EMAIL_PATTERN, Rule, apply_rules
 from lakeloom.sources.ingest import json_stream, parsed_rows
 from lakeloom.streaming.changes import apply_changes_stream, current_state
 from lakeloom.streaming.run import run_to_table
+from lakeloom.streaming.views import group_counts, run_group_counts
 
 FEED_SCHEMA = (
     "customer_id bigint, name string, email string, state string, operation string, seq_us bigint, seq_id bigint"
@@ -28,8 +29,8 @@ def clean(bronze: DataFrame) -> DataFrame:
 
 
 def counts_by_state(customers: DataFrame) -> DataFrame:
-    stamped = customers.select("state", F.current_timestamp().alias("at"))
-    return stamped.groupBy("state").agg(F.count(F.lit(1)).alias("customer_count"), F.max("at").alias("updated_at"))
+    """Customers per state, and the time of the last change to one of them."""
+    return customers.groupBy("state").agg(F.count(F.lit(1)).alias("customer_count"), F.timestamp_micros(F.max("seq_us")).alias("last_change"))
 
 
 def subscribed_emails(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -50,3 +51,11 @@ def update(spark: SparkSession, feed: str, out: str, timeout: float | None = Non
 
 def current_customers(spark: SparkSession, out: str) -> DataFrame:
     return current_state(spark, f"{out}/changes", KEYS, SEQUENCE, "operation = 'DELETE'", drop=["operation"])
+
+
+def update_counts(spark: SparkSession, out: str, timeout: float | None = None, state_partitions: int | None = None) -> DataFrame:
+    """Customers per state, brought up to date by what is new in the raw table alone."""
+    stored = spark.readStream.schema(spark.read.parquet(f"{out}/bronze").schema).parquet(f"{out}/bronze")
+    run_group_counts(
+        clean(parsed_rows(stored)), KEYS, SEQUENCE, "state", "operation = 'DELETE'", f"{out}/moves", f"{out}/_checkpoints/moves", timeout, state_partitions)
+    return group_counts(spark, f"{out}/moves", "state", "customer_count")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakeloom.operators.quality import Rule, apply_rules, record_counts
 from lakeloom.sources.ingest import json_stream, parsed_rows
 from lakeloom.streaming.run import run_to_table
+from lakeloom.streaming.updates import read_added, run_added
 
 FEED_SCHEMA = "order_id bigint, customer_id bigint, order_timestamp bigint, notifications string"
 RULES = [Rule("valid_date", "order_timestamp > timestamp'1990-01-01'", "fail")]
@@ -25,12 +26,20 @@ def by_date(orders: DataFrame) -> DataFrame:
     return daily.agg(F.count("*").alias("total_daily_orders"))
 
 
+def add_by_date(spark: SparkSession, out: str, timeout: float | None = None) -> DataFrame:
+    """The daily counts, with the orders that are new in the silver table added to them."""
+    new = spark.readStream.schema(spark.read.parquet(f"{out}/silver").schema).parquet(f"{out}/silver")
+    day = F.to_date("order_timestamp").alias("order_date")
+    run_added(new, [day], [F.count(F.lit(1)).alias("total_daily_orders")], f"{out}/daily", f"{out}/_checkpoints/daily", timeout)
+    return read_added(spark, f"{out}/daily", ["order_date"])
+
+
 def update(spark: SparkSession, feed: str, out: str, timeout: float | None = None) -> DataFrame:
-    """Take in what has arrived, extend both tables, and recompute the daily counts."""
+    """Take in what has arrived, extend both tables, and add to the daily counts."""
     raw = json_stream(spark, feed, FEED_SCHEMA)
     run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze", timeout=timeout)
     stored = spark.readStream.schema(raw.schema).parquet(f"{out}/bronze")
     seen: dict[str, dict[str, int]] = {}
     run_to_table(silver(parsed_rows(stored)), f"{out}/silver", f"{out}/_checkpoints/silver", timeout=timeout, observed=seen)
     record_counts(spark, f"{out}/event_log", "orders_silver", RULES, seen.get("orders_silver", {}), uuid.uuid4().hex)
-    return by_date(spark.read.parquet(f"{out}/silver"))
+    return add_by_date(spark, out, timeout)

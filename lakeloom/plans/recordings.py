@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators.quality import Rule, apply_rules
-from lakeloom.sources.ingest import file_stream, ingest_schema, json_stream, parsed_rows
+from lakeloom.sources.delimited import follow_loaded, load_csv
+from lakeloom.sources.ingest import ingest_schema, json_stream, parsed_rows
 from lakeloom.streaming.joins import join_streams, within_time
 from lakeloom.streaming.run import run_to_table
 from lakeloom.streaming.updates import read_updates, run_updates
@@ -61,7 +62,8 @@ def update(
     run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze", timeout=timeout)
     recordings = parsed_rows(spark.readStream.schema(raw.schema).parquet(f"{out}/bronze"))
     columns = "mrn bigint, name string" + (", admitted double" if within else "")
-    patients = file_stream(spark, patient_feed, "csv", columns, header=True)
+    load_csv(spark, patient_feed, columns, f"{out}/patients", f"{out}/_checkpoints/patients", timeout=timeout)
+    patients = parsed_rows(follow_loaded(spark, f"{out}/patients", columns))
     run_to_table(
         enriched(recordings, patients, within, lateness), f"{out}/enriched", f"{out}/_checkpoints/enriched",
         timeout=timeout, state_partitions=state_partitions, state=state,

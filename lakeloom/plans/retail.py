@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators.quality import Rule, apply_rules
-from lakeloom.sources.ingest import file_stream, json_stream, parsed_rows
+from lakeloom.sources.delimited import load_csv, read_loaded
+from lakeloom.sources.ingest import json_stream, parsed_rows
 from lakeloom.streaming.run import run_to_table
 
 ORDER_SCHEMA = (
@@ -35,20 +36,19 @@ def cleaned(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def sales_in(cities: list[str], orders: DataFrame) -> DataFrame:
-    """Sales, quantity and products per day, customer and currency in some cities."""
-    group = ["order_date", "city", "customer_id", "customer_name"]
-    lines = orders.where(F.col("city").isin(cities)).select(*group, F.inline("ordered_products"))
-    totals = {"sales": F.sum("price"), "quantity": F.sum("qty"), "product_count": F.count("id")}
-    return lines.groupBy(*group, "curr").agg(*(total.alias(name) for name, total in totals.items()))
+    """Revenue, units and the dearest line per city, currency and month of some cities."""
+    local = orders.where(F.col("city").isin(cities)).withColumn("month", F.date_format("order_date", "yyyy-MM"))
+    lines = local.select("month", "city", F.inline("ordered_products"))
+    return lines.groupBy("city", "curr", "month").agg(
+        F.sum("price").alias("revenue"), F.sum("qty").alias("units"), F.max("price").alias("dearest_line"), (F.sum("price") / F.sum("qty")).alias("mean_unit_price"))
 
 
 def update(
     spark: SparkSession, order_feed: str, customer_feed: str, out: str, timeout: float | None = None
 ) -> DataFrame:
     """Take in both feeds; new orders meet the customers known by then."""
-    people = file_stream(spark, customer_feed, "csv", CUSTOMER_SCHEMA, header=True)
-    run_to_table(people, f"{out}/customers", f"{out}/_checkpoints/customers", timeout=timeout)
-    customers = spark.read.parquet(f"{out}/customers")
+    load_csv(spark, customer_feed, CUSTOMER_SCHEMA, f"{out}/customers", f"{out}/_checkpoints/customers", timeout=timeout)
+    customers = parsed_rows(read_loaded(spark, f"{out}/customers"))
     raw = json_stream(spark, order_feed, ORDER_SCHEMA)
     run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze", timeout=timeout)
     orders = parsed_rows(spark.readStream.schema(raw.schema).parquet(f"{out}/bronze"))

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeloom.operators.quality import Rule, apply_rules, record_counts
+from lakeloom.operators.quality import Rule, apply_rules, record_counts, record_start
 from lakeloom.sources.ingest import json_stream, parsed_rows
 from lakeloom.streaming.run import run_to_table
 
@@ -29,10 +29,12 @@ def email_updates(status: DataFrame, emails: DataFrame) -> DataFrame:
 
 def update(spark: SparkSession, feed: str, out: str, since: int, timeout: float | None = None) -> DataFrame:
     """Take in what has arrived; the status rows so far."""
+    update_id = uuid.uuid4().hex
+    record_start(spark, f"{out}/event_log", "status_silver", ["status_bronze"], update_id)
     raw = json_stream(spark, feed, FEED_SCHEMA)
     run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze", timeout=timeout)
     stored = spark.readStream.schema(raw.schema).parquet(f"{out}/bronze")
     seen: dict[str, dict[str, int]] = {}
     run_to_table(silver(parsed_rows(stored), since), f"{out}/silver", f"{out}/_checkpoints/silver", timeout=timeout, observed=seen)
-    record_counts(spark, f"{out}/event_log", "status_silver", rules(since), seen.get("status_silver", {}), uuid.uuid4().hex)
+    record_counts(spark, f"{out}/event_log", "status_silver", rules(since), seen.get("status_silver", {}), update_id)
     return spark.read.parquet(f"{out}/silver")

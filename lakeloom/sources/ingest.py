@@ -64,9 +64,10 @@ def rescue_json(lines: DataFrame, schema: T.StructType, column: str = "value") -
     Rescued are fields the schema lacks, fields whose value does not convert,
     and, under ``_line``, a line that is no JSON object at all.
     """
-    parsed = lines.withColumn("_row", F.from_json(column, schema)).withColumn(
-        "_raw", F.from_json(column, "map<string,string>")
-    )
+    parsed = lines.withColumn("_row", F.from_json(column, schema)).withColumn("_keys", F.json_object_keys(column))
+    # a line whose every field is there and no other needs no second look
+    plain = (F.size("_keys") == len(schema)) & F.forall(F.array(*(F.col("_row")[f.name].isNotNull() for f in schema)), lambda known: known)
+    parsed = parsed.withColumn("_raw", F.when(~F.coalesce(plain, F.lit(False)), F.from_json(column, "map<string,string>")))
     known = F.array(*[F.lit(f.name) for f in schema])
     extra = F.map_filter("_raw", lambda k, v: ~F.array_contains(known, k))
     unconverted = F.map_filter(
@@ -75,7 +76,7 @@ def rescue_json(lines: DataFrame, schema: T.StructType, column: str = "value") -
     )
     leftover = F.map_concat(extra, unconverted)
     rescued = F.when(
-        F.col("_raw").isNull() & F.col(column).isNotNull(),
+        F.col("_raw").isNull() & ~F.coalesce(plain, F.lit(False)) & F.col(column).isNotNull(),
         F.to_json(F.create_map(F.lit("_line"), F.col(column))),
     ).when(F.size(leftover) > 0, F.to_json(leftover))
     others = [c for c in lines.columns if c != column]

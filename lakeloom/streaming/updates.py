@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeloom.streaming.run import run
 
@@ -46,3 +46,22 @@ def compact_updates(spark: SparkSession, target: str | list[str], compacted: str
     logs = [target] if isinstance(target, str) else target
     newest = max(_logged(spark, log).agg(F.max("batch")).first()[0] for log in logs)
     read_updates(spark, logs, keys).write.mode("errorifexists").parquet(f"{compacted}/batch={newest}")
+
+
+def run_added(
+    stream: DataFrame, keys: list[str | Column], aggregates: list[Column], target: str, checkpoint: str, timeout: float | None = None
+) -> int:
+    """Append what each batch alone adds to the groups it touches, under its id; rows read.
+
+    For counts and sums: it takes no state, and a batch costs what it holds.
+    """
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.groupBy(*keys).agg(*aggregates).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    return run(stream.writeStream.foreachBatch(publish), checkpoint, timeout)
+
+
+def read_added(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """Every group with the sums over all batches."""
+    rows = _logged(spark, target).drop("batch")
+    return rows.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in rows.columns if c not in keys))

@@ -262,6 +262,18 @@ def sql_function_case(spark, sf):
     return spark.sql("SELECT p_partkey, lakeloom_advice(p_type, p_name, p_size) AS advice FROM {part}", part=table(spark, sf, "part"))
 
 
+@query("X07_described_functions", """WITH used AS (SELECT p_name || ': ' || CAST(p_size * 12 AS VARCHAR) AS dozen,
+      CASE WHEN p_type = 'PROMO' THEN 'on offer' WHEN p_size > 40 THEN 'too large: ' || p_name ELSE 'take ' || p_name END AS advice FROM part)
+    SELECT 'lakeloom_dozen' AS name, 'item STRING, price INT' AS input, 'STRING' AS returns, count(*) AS uses, count(DISTINCT dozen) AS results FROM used
+    UNION ALL SELECT 'lakeloom_advice', 'kind STRING, item STRING, size INT', 'STRING', count(*), count(DISTINCT advice) FROM used""")
+def described_functions(spark, sf):
+    # what the catalog says of two functions, beside what they give
+    dozen = sql_function(spark, sf).agg(F.count("*").alias("uses"), F.count_distinct("message").alias("results")).withColumn("name", F.lit("lakeloom_dozen"))
+    advice = sql_function_case(spark, sf).agg(F.count("*").alias("uses"), F.count_distinct("advice").alias("results")).withColumn("name", F.lit("lakeloom_advice"))
+    described = udfs.function_facts(spark, "lakeloom_dozen").unionByName(udfs.function_facts(spark, "lakeloom_advice"))
+    return described.join(dozen.unionByName(advice), "name").select("name", "input", "returns", "uses", "results")
+
+
 @query("X03_sql_function_random", "SELECT user_id, count(*) AS n, TRUE AS in_range FROM events GROUP BY user_id")
 def sql_function_random(spark, sf):
     udfs.create_sql_function(spark, "lakeloom_ping()", "INT", "int(rand() * 250)")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeloom.operators.changes import apply_changes, insert_missing
 from lakeloom.operators.joins import outer_join_unique
 from lakeloom.operators.nesting import collect_distinct
+from lakeloom.session import scratch_dir
 from lakeloom.suite.base import query, settled, table
 from lakeloom.suite.standins import (
     CHANGE_FEED, ITEMS, PLACES, SALES, USERS, change_feed, places, sales, sales_documents, users,
@@ -147,6 +148,16 @@ def approx_distinct(spark, sf):
     ).select("l_returnflag", "exact", (F.abs(F.col("approx") / F.col("exact") - 1) < 0.1).alias("close"))
 
 
+@query("A05_stored_sketches")
+def stored_sketches(spark, sf):
+    # a sketch of parts for each day of shipping is kept as bytes; any span of days is the union of its sketches
+    lines, path = table(spark, sf, "lineitem"), scratch_dir(spark, "sketches")
+    lines.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.hll_sketch_agg("l_partkey", 12).alias("sketch")).write.parquet(path)
+    spans = F.explode(F.array(F.date_format("day", "yyyy-MM"), F.date_format("day", "yyyy"), F.lit("all"))).alias("span")
+    merged = spark.read.parquet(path).select(spans, "sketch").groupBy("span").agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("span", F.hll_sketch_estimate("sketch").alias("parts"))
+
+
 @query("A06_distinct_tuple", """SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS pairs FROM lineitem
     WHERE l_orderkey IS NOT NULL""")
 def distinct_tuple(spark, sf):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from lakeloom.functions.nested import words
 from lakeloom.operators.joins import sort_rows
+from lakeloom.operators.plan_facts import executed, plan_facts
 from lakeloom.operators.quality import EMAIL_PATTERN
 from lakeloom.suite.base import query, table
 from lakeloom.suite.standins import (
@@ -483,3 +484,32 @@ def size(spark, sf):
         .select("doc_id", F.size(words("text")).alias("n_words"))
         .where("n_words > 50")
     )
+
+
+# -- plans --------------------------------------------------------------------
+
+
+_PLAN_FACTS = """WITH urgent AS (SELECT o_orderstatus, sum(o_totalprice) AS total FROM orders WHERE o_totalprice > 1000 AND o_orderpriority = '1-URGENT' GROUP BY 1),
+    named AS (SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE length(o_orderpriority) > 5),
+    facts(asked, kind, detail) AS (VALUES
+      ('urgent', 'column read', 'orders: o_orderstatus'), ('urgent', 'column read', 'orders: o_totalprice'), ('urgent', 'column read', 'orders: o_orderpriority'),
+      ('urgent', 'pushed filter', 'orders: IsNotNull(o_totalprice)'), ('urgent', 'pushed filter', 'orders: IsNotNull(o_orderpriority)'),
+      ('urgent', 'pushed filter', 'orders: GreaterThan(o_totalprice,1000.0)'), ('urgent', 'pushed filter', 'orders: EqualTo(o_orderpriority,1-URGENT)'),
+      ('urgent', 'exchange', 'hashpartitioning(o_orderstatus)'),
+      ('named', 'column read', 'orders: o_orderkey'), ('named', 'column read', 'orders: o_custkey'), ('named', 'column read', 'orders: o_orderpriority'),
+      ('named', 'column read', 'customer: c_custkey'), ('named', 'column read', 'customer: c_name'),
+      ('named', 'pushed filter', 'orders: IsNotNull(o_orderpriority)'), ('named', 'pushed filter', 'orders: IsNotNull(o_custkey)'), ('named', 'pushed filter', 'customer: IsNotNull(c_custkey)'),
+      ('named', 'exchange', 'hashpartitioning(o_custkey)'), ('named', 'exchange', 'hashpartitioning(c_custkey)'), ('named', 'join', 'SortMergeJoin Inner'))
+    SELECT asked, kind, detail, CASE asked WHEN 'urgent' THEN (SELECT count(*) FROM urgent) ELSE (SELECT count(*) FROM named) END AS result_rows FROM facts"""
+
+
+@query("B04_plan_facts", _PLAN_FACTS)
+def facts_of_plans(spark, sf):
+    # the second query's filter can't be pushed to the scan: it reads every order and then tests the length
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    asked = {
+        "urgent": orders.where("o_totalprice > 1000 AND o_orderpriority = '1-URGENT'").groupBy("o_orderstatus").agg(F.sum("o_totalprice").alias("total")),
+        "named": orders.where("length(o_orderpriority) > 5").hint("merge").join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name"),
+    }
+    found = [(name, kind, detail, n) for name, df in asked.items() for n in [executed(df)] for kind, detail in plan_facts(df) if kind != "filter"]
+    return spark.createDataFrame(found, "asked string, kind string, detail string, result_rows bigint")

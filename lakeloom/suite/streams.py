@@ -9,6 +9,8 @@ from lakeloom.operators.layout import file_spans, optimize
 from lakeloom.operators.quality import Rule, apply_rules
 from lakeloom.session import scratch_dir, view_name
 from lakeloom.sources.files import with_provenance
+from lakeloom.sources.delimited import load_csv, read_loaded
+from lakeloom.sources.evolving import ingest_evolving, read_evolving
 from lakeloom.sources.ingest import file_stream, ingest_schema, load_new_files, rescue_json
 from lakeloom.streaming import run
 from lakeloom.streaming.changes import apply_changes_stream, compact_log, current_state
@@ -18,6 +20,7 @@ from lakeloom.streaming.windows import closed_windows, window_report
 from lakeloom.suite.base import query, settled, table
 from lakeloom.suite.standins import CHANGE_FEED, EMAIL, change_feed, users
 from lakeloom.suite.table_changes import STATE
+from lakeloom.streaming.views import compact_moves, group_counts, run_group_counts
 
 HALF = "time_us < 1705363200000000"  # 2024-01-16, the middle of the events
 EVENT_SCHEMA = "event_id bigint, event_name string, user_id bigint, value double, time_us bigint"
@@ -142,6 +145,68 @@ def rescued_data(spark, sf):
     return spark.read.parquet(job.out())
 
 
+_CSV_FIRST, _CSV_SECOND = ["event_id", "event_name", "value"], ["value", "event_id", "note", "event_name"]
+
+
+@query("S20_rescued_csv", """WITH e AS (SELECT *, ts < TIMESTAMP '2024-01-16' AS first, event_type AS kind FROM events)
+    SELECT CASE WHEN kind <> 'error' OR NOT first THEN event_id END AS event_id, CASE WHEN kind <> 'error' OR NOT first THEN kind END AS event_name,
+      CASE WHEN first AND kind IN ('view', 'signup', 'error') THEN NULL ELSE value END AS value,
+      CASE WHEN NOT first THEN CASE WHEN kind = 'purchase' THEN '{"note":"a \\"b\\", c"}' END
+        WHEN kind = 'view' THEN '{"value":"n/a"}' WHEN kind = 'signup' THEN '{"_missing":"value"}' WHEN kind = 'click' THEN '{"_extra_4":"late"}'
+        WHEN kind = 'error' THEN '{"_line":"' || CAST(event_id AS VARCHAR) || ',\\"error"}' END AS _rescued_data FROM e""")
+def rescued_csv(spark, sf):
+    # the first files have unfit, short, long and broken lines, the second another order of columns and a new one
+    name, ident, value = F.col("event_name"), F.col("event_id").cast("string"), F.col("value").cast("string")
+    first = (
+        F.when(name == "view", F.concat_ws(",", ident, name, F.lit("n/a"))).when(name == "signup", F.concat_ws(",", ident, name))
+        .when(name == "click", F.concat_ws(",", ident, name, value, F.lit("late"))).when(name == "error", F.concat(ident, F.lit(',"error')))
+        .otherwise(F.concat_ws(",", ident, F.concat(F.lit('"'), name, F.lit('"')), value)))
+    second = F.concat_ws(",", value, ident, F.when(name == "purchase", '"a ""b"", c"').otherwise(""), name)
+    job, folder = Job(spark, "rescued_csv"), scratch_dir(spark, "csv_lines")
+    rows = event_rows(spark, sf)
+    for part, line, header in ((HALF, first, _CSV_FIRST), (f"NOT ({HALF})", second, _CSV_SECOND)):
+        # every file begins with its own header
+        lines = rows.where(part).select(line.alias("value")).mapInPandas(_headed(",".join(header)), "value string")
+        lines.write.mode("append").text(folder)
+        load_csv(spark, folder, "event_id bigint, event_name string, value double", job.out(), job.checkpoint())
+    return read_loaded(spark, job.out()).drop("source_file", "processing_time")
+
+
+def _headed(header):
+    def headed(frames):
+        import pandas as pd
+
+        yield pd.DataFrame({"value": [header]})
+        yield from frames
+
+    return headed
+
+
+@query("S19_schema_evolution", """WITH e AS (SELECT *, ts < TIMESTAMP '2024-01-11' AS first, ts < TIMESTAMP '2024-01-21' AS early FROM events)
+    SELECT event_id, CASE WHEN early THEN user_id ELSE user_id + 3000000000 END AS user_id,
+      CASE WHEN early OR event_type <> 'view' THEN value END AS value, CASE WHEN NOT first THEN event_type END AS note,
+      CASE WHEN NOT first THEN event_id END AS points, CASE WHEN NOT early AND event_type = 'view' THEN '{"value":"n/a"}' END AS _rescued_data FROM e""")
+def schema_evolution(spark, sf):
+    # the second arrival brings two fields, the third numbers too large for the type and text in place of a number
+    folder, out = scratch_dir(spark, "evolving_feed"), scratch_dir(spark, "evolving")
+    cut = [1704931200000000, 1705795200000000]  # 2024-01-11, 2024-01-21
+    rows, kind = event_rows(spark, sf), F.col("event_name")
+    new = [kind.alias("note"), F.col("event_id").alias("points")]
+    large = (F.col("user_id") + 3_000_000_000).alias("user_id")
+    third = rows.where(F.col("time_us") >= cut[1])
+    arrived = [
+        rows.where(F.col("time_us") < cut[0]).select("event_id", "user_id", "value"),
+        rows.where((F.col("time_us") >= cut[0]) & (F.col("time_us") < cut[1])).select("event_id", "user_id", "value", *new),
+        third.where("event_name <> 'view'").select("event_id", large, "value", *new),
+        third.where("event_name = 'view'").select("event_id", large, F.lit("n/a").alias("value"), *new),
+    ]
+    for i, part in enumerate(arrived):
+        part.write.mode("append").json(folder)
+        if i != 2:
+            ingest_evolving(spark, folder, out, "event_id bigint, user_id int, value double")
+    return read_evolving(spark, out).drop("source_file", "processing_time")
+
+
 # -- sinks ----------------------------------------------------------------------
 
 
@@ -471,6 +536,35 @@ def late_records(spark, sf):
     return current_state(spark, both, keys, sequence, "operation = 'DELETE'", drop=["operation"])
 
 
+def _maintained(spark, sf, job, first):
+    def step(folder):
+        feed = file_stream(spark, folder, "json", CDC_SCHEMA).where("operation IS NOT NULL")
+        run_group_counts(feed, ["customer_id"], ["seq_us", "seq_id"], "state", "operation = 'DELETE'", job.out(), job.checkpoint(), state_partitions=job.states)
+
+    arrivals(spark, change_feed(spark, sf), first, step)
+
+
+@query("A20_maintained_counts", f"WITH {STATE} SELECT state, count(*) AS n FROM state GROUP BY state")
+def maintained_counts(spark, sf):
+    # the later half arrives first; the moves and their compacted form say the same
+    job = Job(spark, "maintained")
+    _maintained(spark, sf, job, f"NOT ({HALF.replace('time_us', 'seq_us')})")
+    compact_moves(spark, job.out(), job.out("compacted"), "state")
+    return group_counts(spark, job.out("compacted"), "state")
+
+
+@query("A20_maintained_moves", f"""WITH {CHANGE_FEED}, known AS (SELECT * FROM change_feed WHERE operation IS NOT NULL),
+    images AS (SELECT customer_id, arg_max(CASE operation WHEN 'DELETE' THEN '' ELSE state END, (seq_us, seq_id)) FILTER (WHERE {HALF.replace('time_us', 'seq_us')}) AS before,
+      arg_max(CASE operation WHEN 'DELETE' THEN '' ELSE state END, (seq_us, seq_id)) AS after FROM known GROUP BY 1)
+    SELECT CAST(sum(CASE WHEN before <> '' THEN 1 ELSE 0 END) + sum(CASE WHEN after <> coalesce(before, '') THEN CASE WHEN before <> '' THEN 1 ELSE 0 END
+      + CASE WHEN after <> '' THEN 1 ELSE 0 END ELSE 0 END) AS BIGINT) AS moves FROM images""")
+def maintained_moves(spark, sf):
+    # what two updates have written: a row for each group a changed customer has left or come to
+    job = Job(spark, "moves")
+    _maintained(spark, sf, job, HALF.replace("time_us", "seq_us"))
+    return spark.read.parquet(job.out()).agg(F.count("*").alias("moves"))
+
+
 @query("J05_stream_static_left", f"""SELECT event_id, user_id, {EMAIL} AS email FROM events
     LEFT JOIN customer ON user_id = c_custkey AND c_acctbal >= value""")
 def stream_static_left(spark, sf):

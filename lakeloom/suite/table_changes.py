@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.operators import changes as ch
+from lakeloom.operators import changes as ch, clones
 from lakeloom.operators.layout import file_spans, optimize
 from lakeloom.session import scratch_database, scratch_dir
 from lakeloom.sources.sinks import rewrite_partitions
@@ -175,6 +175,37 @@ def clone(spark, sf):
     return spark.read.parquet(path)
 
 
+def _damaged_clone(spark, sf):
+    """A clone that lacks each nation's first customer, holds a stale balance of its last, and has kept a customer of each segment that is gone."""
+    source = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    ends = source.groupBy("c_nationkey").agg(F.min("c_custkey").alias("least"), F.max("c_custkey").alias("most"))
+    stale = source.join(ends, "c_nationkey").where("c_custkey <> least").withColumn(
+        "c_acctbal", F.when(F.col("c_custkey") == F.col("most"), F.col("c_acctbal") - 1).otherwise(F.col("c_acctbal"))).select(*source.columns)
+    gone = source.groupBy("c_mktsegment").agg(F.max("c_custkey").alias("k")).join(source.drop("c_mktsegment"), F.col("k") == F.col("c_custkey")).select(
+        (F.col("c_custkey") + 1_000_000).alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    name = f"{scratch_database(spark)}.customers"
+    clones.clone_table(stale.unionByName(gone), ["c_custkey"], name)
+    return source, name
+
+
+@query("T12_clone_repair", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def clone_repair(spark, sf):
+    source, name = _damaged_clone(spark, sf)
+    clones.resync_clone(spark, source, name, ["c_custkey"], scratch_dir(spark, "repair"))
+    return spark.table(name).drop(clones.BUCKET)
+
+
+@query("T12_clone_differences", """SELECT 'missing' AS difference, count(*) AS n, TRUE AS some_buckets_unread, TRUE AS whole_after FROM (SELECT min(c_custkey) FROM customer GROUP BY c_nationkey)
+    UNION ALL SELECT 'changed', count(*), TRUE, TRUE FROM (SELECT max(c_custkey) AS k, min(c_custkey) AS l FROM customer GROUP BY c_nationkey) WHERE k <> l
+    UNION ALL SELECT 'vanished', count(DISTINCT c_mktsegment), TRUE, TRUE FROM customer""")
+def clone_differences(spark, sf):
+    source, name = _damaged_clone(spark, sf)
+    unlike, found = clones.resync_clone(spark, source, name, ["c_custkey"], scratch_dir(spark, "repair"))
+    again, _ = clones.resync_clone(spark, source, name, ["c_custkey"], scratch_dir(spark, "repair"))
+    return found.groupBy("difference").agg(
+        F.count("*").alias("n"), F.lit(0 < len(unlike) < 256).alias("some_buckets_unread"), F.lit(not again).alias("whole_after"))
+
+
 # -- layout ---------------------------------------------------------------------
 
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeloom.functions.nested import json_field
 from lakeloom.operators.quality import expectation_totals, latest_update
 from lakeloom.plans import customers, event_windows, orders, recordings, retail, shop, status
 from lakeloom.session import scratch_dir
+from lakeloom.sources.ingest import json_stream
+from lakeloom.streaming.run import run_to_table
 from lakeloom.suite.base import query, settled, table
 from lakeloom.suite.joins_aggregates import _COUNTS, EVENT_TYPES, TRANSACTIONS, transactions
 from lakeloom.suite.quality_rules import CLEAN_FEED
@@ -70,7 +73,20 @@ def _customers_from_batch(spark, sf):
 
 @query("L02_customers", f"WITH {CURRENT} SELECT state, count(*) AS customer_count FROM current_customers GROUP BY state")
 def customers_flow(spark, sf):
-    return customers.counts_by_state(_customers_from_stream(spark, sf)).drop("updated_at")
+    return customers.counts_by_state(_customers_from_stream(spark, sf)).drop("last_change")
+
+
+@query("L02_maintained_counts", f"WITH {CURRENT} SELECT state, count(*) AS customer_count FROM current_customers GROUP BY state")
+def maintained_customers(spark, sf):
+    # the later half of the changes arrives first
+    out = scratch_dir(spark, "maintained_customers")
+
+    def step(feed):
+        raw = json_stream(spark, feed, customers.FEED_SCHEMA)
+        run_to_table(raw, f"{out}/bronze", f"{out}/_checkpoints/bronze")
+        return customers.update_counts(spark, out, state_partitions=spark.sparkContext.defaultParallelism)
+
+    return arrivals(spark, change_feed(spark, sf), f"NOT ({_FIRST_HALF})", step, odd=True)
 
 
 @query("L02_subscribed_emails", f"""WITH {CURRENT}, {EMAILS} SELECT order_id, email FROM emails""")
@@ -118,6 +134,25 @@ def flow_counts(spark, sf):
     return expectation_totals(latest_update(spark.read.parquet(f"{out}/event_log")))
 
 
+@query("E06_event_log", """WITH asked AS (SELECT count(*) AS n FROM orders)
+    SELECT 'action' AS kind, 'START' AS answer, 2 AS events FROM asked UNION ALL SELECT 'latest lineage', 'status_bronze -> status_silver', 1 FROM asked
+    UNION ALL SELECT 'rows checked by the latest update', CAST(count(*) AS VARCHAR), 1 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
+def flow_log(spark, sf):
+    # what the flow itself wrote about its two updates
+    out = scratch_dir(spark, "status_log")
+    arrivals(spark, status_feed(spark, sf), "status_timestamp < 883612800", lambda feed: status.update(spark, feed, out, SINCE), odd=True)
+    log = spark.read.parquet(f"{out}/event_log")
+    latest = latest_update(log)
+    actions = log.where("event_type = 'user_action'").groupBy(json_field("details", "user_action", "action").alias("answer")).agg(F.count("*").alias("events"))
+    lineage = latest.where("event_type = 'flow_definition'").select(
+        F.lit("latest lineage").alias("kind"),
+        F.concat(json_field("details", "flow_definition", "input_datasets[0]"), F.lit(" -> "), json_field("details", "flow_definition", "output_dataset")).alias("answer"))
+    checked = expectation_totals(latest).select(
+        F.lit("rows checked by the latest update").alias("kind"), (F.col("passing_records") + F.col("failing_records")).cast("string").alias("answer"))
+    rest = lineage.unionByName(checked.distinct()).withColumn("events", F.lit(1))
+    return actions.select(F.lit("action").alias("kind"), "answer", F.col("events").cast("int").alias("events")).unionByName(rest)
+
+
 @query("L03_status_batch", _STATUS)
 def status_batch(spark, sf):
     silver = status.silver(status_feed(spark, sf).withColumn("source_file", F.lit("batch")), SINCE)
@@ -158,18 +193,17 @@ def retail_customers(spark, sf):
     )
 
 
-_RETAIL = """SELECT strftime(o_orderdate, '%Y-%m-%d') AS order_date, n_name AS city, o_custkey AS customer_id, c_name AS customer_name,
-    CASE WHEN l_linestatus = 'O' THEN 'USD' ELSE 'EUR' END AS curr, round(sum(l_extendedprice), 2) AS sales,
-    CAST(sum(l_quantity) AS BIGINT) AS quantity, count(l_partkey) AS product_count
+_RETAIL = """SELECT strftime(o_orderdate, '%Y-%m') AS month, n_name AS city,
+    CASE WHEN l_linestatus = 'O' THEN 'USD' ELSE 'EUR' END AS curr, round(sum(l_extendedprice), 2) AS revenue,
+    CAST(sum(l_quantity) AS BIGINT) AS units, max(l_extendedprice) AS dearest_line, round(sum(l_extendedprice) / sum(l_quantity) + 1e-9, 4) AS mean_unit_price
     FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-    WHERE n_name IN ('NATION_3', 'NATION_7') AND o_orderpriority <> '4-NOT SPECIFIED' GROUP BY 1, 2, 3, 4, 5"""
+    WHERE n_name IN ('NATION_3', 'NATION_7') AND o_orderpriority <> '4-NOT SPECIFIED' GROUP BY 1, 2, 3"""
 
 
 def _city_sales(cleaned):
     sales = retail.sales_in(["NATION_3", "NATION_7"], cleaned)
     return sales.withColumns({
-        "order_date": F.col("order_date").cast("string"), "sales": F.round("sales", 2),
-        "quantity": F.col("quantity").cast("bigint"),
+        "revenue": F.round("revenue", 2), "units": F.col("units").cast("bigint"), "mean_unit_price": settled(F.col("mean_unit_price")),
     })
 
 

@@ -61,10 +61,11 @@ def test_contract_of_values_and_name(spark, people, rows):
 
 def test_masks(spark, people, rows):
     members = spark.createDataFrame([("ann", "analysts"), ("bob", "others"), ("ann", "analysts")], "user string, group string")
-    readers = spark.createDataFrame([("ann",), ("bob",), ("eve",)], "user string")
+    readers = spark.createDataFrame([("ann", 1), ("bob", 1), ("eve", 1), ("eve", 1), ("joe", 2)], "user string, team int")
     masks = {"email": q.partial_mask("email", 3)}
-    seen = q.masked_view(people, masks, members, "analysts", readers, "id IS NOT NULL")
+    people = people.withColumn("team", F.lit(1))
+    seen = q.policy_view(people, readers, "team", masks, members, "analysts", "id IS NOT NULL").drop("team")
     assert dict(rows(seen.groupBy("user").count())) == {"ann": 4, "bob": 3, "eve": 3}
-    assert q.masked_view(people, masks, members, "analysts", readers.limit(0)).count() == 0
+    assert q.policy_view(people, readers.limit(0), "team", masks, members, "analysts").count() == 0
     masked = seen.where("user = 'bob'")
     assert ("****com" in {r[1] for r in rows(masked)}) and ("bad" in {r[1] for r in rows(masked)})
