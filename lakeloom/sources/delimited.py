@@ -74,11 +74,13 @@ def with_headers(lines: DataFrame, column: str = "value", file: str = "source_fi
     """Lines of files (with the path and the start of the block each comes from) less headers and blank lines, plus ``_header``.
 
     A file's header is the first line of its first block. It takes a pass over the
-    lines, of which one row for each file is left and goes to all others by a join.
+    lines, of which one row for each file is left. Those go to the lines and not the
+    lines to them, which would bring a large file to one task: a batch has
+    ``maxFilesPerTrigger`` files at most, so as many rows.
     """
     placed = lines.withColumn("_at", F.monotonically_increasing_id())
     first = placed.groupBy(F.col(file).alias("_file")).agg(F.min(F.when(F.col(start) == 0, F.struct("_at", column))).alias("_first"))
-    met = placed.join(first, F.col(file) == F.col("_file"), "left")
+    met = placed.join(F.broadcast(first), F.col(file) == F.col("_file"), "left")
     data = F.col("_first").isNull() | (F.col("_at") != F.col("_first._at"))
     return met.where(data & (F.col(column) != "")).select(*(c for c in lines.columns if c != start), F.col("_first")[column].alias("_header"))
 

@@ -410,17 +410,18 @@ def deliveries(spark, sf):
     return spark.read.parquet(out).select("l_orderkey", "l_linenumber", "l_partkey", "late", "cancelled_flag", "delay15_flag")
 
 
-@query("L11_ping_report", """WITH means AS (SELECT user_id, time_bucket(INTERVAL '3 minutes', ts) AS w, avg(value) AS m FROM events GROUP BY 1, 2),
-    per_user AS (SELECT user_id, count(*) AS windows, round(max(m) + 1e-9, 4) AS top_mean FROM means GROUP BY 1)
-    SELECT user_id, count(*) AS total_records, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen,
-    strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen, round(avg(value) + 1e-9, 4) AS total_avg_ping, any_value(windows) AS windows, any_value(top_mean) AS top_mean
-    FROM events JOIN per_user USING (user_id) GROUP BY user_id""")
+@query("L11_ping_report", """WITH three AS (SELECT user_id, avg(value) AS m, max(value) - min(value) AS s FROM events GROUP BY user_id, time_bucket(INTERVAL '3 minutes', ts)),
+    per_user AS (SELECT user_id, count(*) AS windows, round(max(m) + 1e-9, 4) AS top_mean, round(max(s) + 1e-9, 4) AS top_spread FROM three GROUP BY 1),
+    hours AS (SELECT user_id, max(n) AS in_busiest_hour FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id, hour(ts)) GROUP BY 1)
+    SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS since, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS until, round(avg(value) + 1e-9, 4) AS mean_ping,
+    round(max(value) + 1e-9, 4) AS worst_ping, any_value(windows) AS windows, any_value(top_mean) AS top_mean, any_value(top_spread) AS top_spread,
+    any_value(in_busiest_hour) AS in_busiest_hour FROM events JOIN per_user USING (user_id) JOIN hours USING (user_id) GROUP BY user_id""")
 def ping_report(spark, sf):
     pings = table(spark, sf, "events").select("user_id", F.col("value").alias("ping"), F.col("ts").alias("time"))
-    counts, means, summary = shop.ping_report(pings)
-    per_user = means.groupBy("user_id").agg(F.count("*").alias("windows"), settled(F.max("avg_ping")).alias("top_mean"))
-    return counts.join(summary.drop("total_records"), "user_id").join(per_user, "user_id").select(
-        "user_id", "total_records", F.date_format("first_seen", STAMP).alias("first_seen"),
-        F.date_format("last_seen", STAMP).alias("last_seen"), settled(F.col("total_avg_ping")).alias("total_avg_ping"),
-        "windows", "top_mean",
-    )
+    hours, three, summary = shop.ping_report(pings)
+    per_user = three.groupBy("user_id").agg(
+        F.count("*").alias("windows"), settled(F.max("mean_ping")).alias("top_mean"), settled(F.max("spread")).alias("top_spread"))
+    busiest = hours.groupBy("user_id").agg(F.max("records").alias("in_busiest_hour"))
+    return summary.join(busiest, "user_id").join(per_user, "user_id").select(
+        "user_id", F.date_format("since", STAMP).alias("since"), F.date_format("until", STAMP).alias("until"), settled(F.col("mean_ping")).alias("mean_ping"),
+        settled(F.col("worst_ping")).alias("worst_ping"), "windows", "top_mean", "top_spread", "in_busiest_hour")
