@@ -5,8 +5,9 @@ six bytes at their positions. The index lists fingerprints under every set of
 that many positions with the bytes found there (28 entries for each distinct
 fingerprint), so exactly the pairs that reach the guaranteed number of shared
 positional bytes meet. Under an entry only two bytes are free, which bounds its
-list at 65,536 fingerprints however the data lies. For the pairs of a list the
-shared bytes are tallied, pairs below the count are left out, the rest are
+list at 65,536 fingerprints however the data lies. The count filter thus lies in the
+keys: whatever meets in a list shares the guaranteed bytes already, and the tally
+of a pair's bytes, taken again there, removes none. Pairs are
 verified bit by bit, and the list gives a spanning forest of its links, not all
 of its pairs. Lists of one fingerprint are dropped before Python sees them.
 
