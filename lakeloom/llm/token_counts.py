@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakeloom.llm.common import filled, query, saved, table
+from lakeloom.llm.common import filled, located, query, saved, table
 from lakeloom.session import scratch_dir
 
 CACHE = "content_digest binary, tokenizer_digest string, n_tokens long"
@@ -73,24 +73,26 @@ def token_counts(docs: DataFrame, cache: str, tokenizer: str, limit: int = 512,
     spark = docs.sparkSession
     digest = tokenizer_digest(tokenizer)
     spark.createDataFrame([], CACHE).write.mode("append").parquet(cache)
-    content = F.unhex(F.sha2(filled(text), 256)).alias("content_digest")
-    rows = saved(docs.select(key, content, F.octet_length(filled(text)).cast("long").alias("n_bytes")), "contents")
+    # a row's place as a number: rows that repeat a key and a text are told apart
+    placed = located(docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))).withColumn("_spot", F.xxhash64("_path", "_row"))
+    content = F.unhex(F.sha2(filled("_text"), 256)).alias("content_digest")
+    rows = saved(placed.select("_key", content, F.octet_length(filled("_text")).cast("long").alias("n_bytes"), "_spot"), "contents")
 
     def stored() -> DataFrame:
         return spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer_digest") == digest).groupBy("content_digest").agg(
             F.max("n_tokens").alias("n_tokens"))
 
-    # one row stands for each missing digest: the smallest key; the text itself moves once and is not sorted
+    # one row stands for each missing digest; the text itself moves once and is not sorted
     stand_ins = saved(
-        rows.groupBy("content_digest").agg(F.min(key).alias("stand_in")).join(stored(), "content_digest", "left_anti"), "misses")
+        rows.groupBy("content_digest").agg(F.min("_spot").alias("stand_in")).join(stored(), "content_digest", "left_anti"), "misses")
     if not stand_ins.isEmpty():
-        wanted = docs.select(content, F.col(key).alias("stand_in"), filled(text).alias("text"))
+        wanted = placed.select(content, F.col("_spot").alias("stand_in"), filled("_text").alias("text"))
         missing = wanted.join(
             stand_ins.select(F.col("content_digest").alias("d"), F.col("stand_in").alias("s")).hint("shuffle_hash"),
-            (F.col("content_digest") == F.col("d")) & F.col("stand_in").eqNullSafe(F.col("s")), "left_semi")
+            (F.col("content_digest") == F.col("d")) & (F.col("stand_in") == F.col("s")), "left_semi")
         missing.select("content_digest", "text").mapInArrow(encoder(tokenizer, digest, group_chars), CACHE).write.mode("append").parquet(cache)
     counted = rows.join(saved(stored(), "counts"), "content_digest")
-    return counted.select(key, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return counted.select(F.col("_key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 @query("op10_token_counts")

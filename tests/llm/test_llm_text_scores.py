@@ -134,3 +134,11 @@ def test_token_counts_and_cache(spark, odd_docs, no_docs, tokenizer, tmp_path):
     spark.read.parquet(cache).withColumn("tokenizer_digest", F.lit("other")).write.parquet(str(tmp_path / "other"))
     assert sorted((r.doc_id or -1, r.n_bytes, r.n_tokens) for r in tc.token_counts(docs, str(tmp_path / "other"), path).collect()) == want
     assert tc.token_counts(no_docs, cache, path).count() == 0
+
+
+def test_equal_rows_are_encoded_once(spark, tokenizer, tmp_path):
+    rows = [(1, "the same text")] * 50 + [(None, "no id")] * 30 + [(2, "another"), (3, "the same text"), (1, None), (1, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    cache = str(tmp_path / "cache")
+    assert tc.token_counts(frame, cache, tokenizer[0] if isinstance(tokenizer, tuple) else str(tokenizer)).count() == len(rows)
+    assert spark.read.parquet(cache).count() == 4
