@@ -87,7 +87,11 @@ def json_stream(spark: SparkSession, path: str, schema: str | T.StructType, **op
     """A stream over JSON lines: the schema's fields, ``source_file``, ``processing_time``, and ``_rescued_data``
     with all that the schema doesn't take, so that a raw table loses nothing."""
     lines = with_provenance(file_stream(spark, path, "text", "value string", **options))
-    return rescue_json(lines, T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+    return rescue_json(lines, raw_schema(schema))
+
+
+def raw_schema(schema: str | T.StructType) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
 def parsed_rows(raw: DataFrame) -> DataFrame:
