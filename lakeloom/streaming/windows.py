@@ -29,7 +29,10 @@ def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
 def window_report(spark: SparkSession, target: str, checkpoint: str, arrived: int) -> DataFrame:
     """One row that accounts for all rows that arrived: ``published`` in closed windows, ``waiting`` in
     open ones, ``late`` apart; and the number of closed and open windows."""
-    closed = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("closed_windows"), F.coalesce(F.sum("rows"), F.lit(0)).alias("published"))
-    held = open_windows(spark, checkpoint).agg(F.count(F.lit(1)).alias("open_windows"), F.coalesce(F.sum("rows"), F.lit(0)).alias("waiting"))
+    closed = spark.read.parquet(target).select("rows", F.lit(True).alias("closed"))
+    both = closed.unionByName(open_windows(spark, checkpoint).select("rows", F.lit(False).alias("closed")))
+    total = both.agg(
+        F.count_if("closed").alias("closed_windows"), F.count_if(~F.col("closed")).alias("open_windows"),
+        *(F.coalesce(F.sum(F.when(F.col("closed") == flag, F.col("rows"))), F.lit(0)).alias(name) for name, flag in (("published", True), ("waiting", False))))
     late = F.lit(arrived).cast("bigint") - F.col("published") - F.col("waiting")
-    return closed.join(held).select(F.lit(arrived).cast("bigint").alias("arrived"), "published", "waiting", late.alias("late"), "closed_windows", "open_windows")
+    return total.select(F.lit(arrived).cast("bigint").alias("arrived"), "published", "waiting", late.alias("late"), "closed_windows", "open_windows")

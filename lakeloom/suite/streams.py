@@ -501,9 +501,10 @@ def updated_days(spark, sf):
 def update_cost(spark, sf):
     job, state = Job(spark, "update_cost"), {}
     _updated_days(spark, sf, job, state)
-    groups = read_updates(spark, job.out(), ["user_id", "window"]).agg(F.count("*").alias("groups"))
-    written = rows_per_batch(spark, job.out()).agg(F.sum("rows_written").alias("rows_written"))
-    return written.join(groups).select("rows_written", "groups", F.lit(state["rows"]).cast("bigint").alias("groups_in_state"))
+    written = rows_per_batch(spark, job.out()).select("rows_written", F.lit(0).alias("groups"))
+    groups = read_updates(spark, job.out(), ["user_id", "window"]).select(F.lit(0).alias("rows_written"), F.lit(1).alias("groups"))
+    return written.unionByName(groups).agg(
+        F.sum("rows_written").alias("rows_written"), F.sum("groups").alias("groups"), F.lit(state["rows"]).cast("bigint").alias("groups_in_state"))
 
 
 CDC_SCHEMA = "customer_id bigint, name string, email string, state string, operation string, seq_us bigint, seq_id bigint"
@@ -625,15 +626,16 @@ def streams_in_time(spark, sf):
 def state_in_time(spark, sf):
     # facts of the last hour and sign-ups of the last two days and an hour, each in eight copies, can still meet
     job, state = Job(spark, "in_time_state"), {}
-    pairs = _in_time(spark, sf, job, state).agg(F.count("*").alias("pairs"))
+    pairs = _in_time(spark, sf, job, state)
     last = F.max(F.when(F.col("event_name") != "signup", F.col("time_us"))), F.max(F.when(F.col("event_name") == "signup", F.col("time_us")))
-    bound = F.least(*last) - 3_600_000_000
     rows = event_rows(spark, sf)
-    ends = rows.agg(bound.alias("bound"), F.count("*").alias("arrived"))
-    can_meet = rows.join(ends).agg(F.sum(
-        F.when(F.col("event_name") != "signup", (F.col("time_us") >= F.col("bound")).cast("int"))
-        .otherwise(8 * (F.col("time_us") >= F.col("bound") - 2 * 86_400_000_000).cast("int"))).alias("can_meet"))
-    return pairs.join(ends.select("arrived")).join(can_meet).select("pairs", "arrived", (F.lit(state["rows"]) <= F.col("can_meet")).alias("state_is_bounded"))
+    bound = rows.agg((F.least(*last) - 3_600_000_000).alias("bound")).first()["bound"]
+    can_meet = (
+        F.when(F.col("event_name") != "signup", (F.col("time_us") >= bound).cast("int"))
+        .otherwise(8 * (F.col("time_us") >= bound - 2 * 86_400_000_000).cast("int")))
+    seen = rows.select(can_meet.alias("can_meet"), F.lit(1).alias("arrived"), F.lit(0).alias("pair"))
+    both = seen.unionByName(pairs.select(F.lit(0).alias("can_meet"), F.lit(0).alias("arrived"), F.lit(1).alias("pair")))
+    return both.agg(F.sum("pair").alias("pairs"), F.sum("arrived").alias("arrived"), (F.lit(state["rows"]) <= F.sum("can_meet")).alias("state_is_bounded"))
 
 
 @query("E03_fail_update", "SELECT TRUE AS stopped, 0 AS committed_by_failure, count(*) AS committed_after_fix FROM events")
