@@ -5,10 +5,9 @@ inverse document frequencies. The vocabulary of the search is that of the items,
 less the words that more than ``common`` of all documents hold; an item keeps its
 ``RAREST`` rarest words in any case. A randomised SVD of the TF-IDF rows of
 passages (distributed: every power step is a pass over the passages in which
-tasks sum their part of ``A'AQ``; the driver only orthonormalises a table of
-fixed size) yields the latent basis. It is fitted on the items and a bounded
-sample of the corpus, half the weight each: the passages of ``sample_docs``
-documents, whose keys hash lowest, at most ``sample_passages`` each.
+tasks sum their part of ``A'AQ``, and the parts are added block by block; the
+driver only orthonormalises a table of fixed size) yields the latent basis. It is
+fitted on the items and on every passage of every document, half the weight each.
 
 Every document is then indexed whole, in windows on a grid of ``GRID`` words. A
 window for items of n words spans ``n / GRID`` cells rounded up and one more, and
@@ -40,12 +39,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lakeloom.llm import words as W
 from lakeloom.llm.common import filled, query, saved, table, whole
 
 BITS, RANK, GRID, PASSAGE, RAREST = 17, 64, 8, 32, 4
+#: Rows of the latent table that are added up together.
+ROWS = 128
 #: Words of a run by which items are found as they stand; an answer has as many at least. Bits of the table that passes over other runs.
 RUN, FLAGS = 3, 22
 BUCKETS = 1 << BITS
@@ -93,68 +95,82 @@ def item_weights(items: list[str], idf: np.ndarray, common: float) -> np.ndarray
     return weights
 
 
-def _passages(most: int, weight: float):
-    """A batch function: texts to rows of PASSAGE buckets (-1 where a passage ends early), at most ``most`` of a text, evenly spaced."""
+def _passages(sent):
+    """A batch function: texts to the vocabulary's words of every passage, as rows of the table; passages without any are left out."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = sent.value
         for batch in batches:
             for _, texts in W.slices(batch):
                 w = W.split(texts, lower=True)
-                buckets, rows = _buckets(w.hashes()), []
-                for a, b in zip(w.first[:-1], w.first[1:]):
-                    starts = np.arange(a, b, PASSAGE)
-                    for s in starts[np.unique(np.linspace(0, len(starts) - 1, most).astype(int))] if len(starts) > most else starts:
-                        rows.append(np.pad(buckets[s:min(s + PASSAGE, b)], (0, max(0, PASSAGE - (b - s))), constant_values=-1))
-                flat = np.concatenate(rows).astype(np.int32) if rows else np.empty(0, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * PASSAGE, pa.array(flat)),
-                     pa.array(np.full(len(rows), weight))], names=["buckets", "weight"])
+                rows = place[_buckets(w.hashes())]
+                live = np.flatnonzero(rows >= 0)
+                text_of = np.searchsorted(w.first, live, side="right") - 1
+                before = np.concatenate([[0], np.cumsum(-(-np.diff(w.first) // PASSAGE))])
+                passage = before[text_of] + (live - w.first[text_of]) // PASSAGE
+                offsets = np.append(np.flatnonzero(np.diff(passage, prepend=-1)), len(live)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(rows[live].astype(np.int32)))], names=["rows"])
 
     return cut
 
 
+def passages(texts: DataFrame, place: np.ndarray, text: str = "text") -> DataFrame:
+    """The passages of all whole texts that hold a word of the vocabulary: ``rows``, their words' rows of the table. ``place``: as of ``latent_table``."""
+    sent = texts.sparkSession.sparkContext.broadcast(place)
+    return texts.select(filled(text).alias("text")).mapInArrow(_passages(sent), "rows array<int>")
+
+
 def _power_step(sent):
-    """A batch function: passages to the task's part of A'AQ. Rows stand for the vocabulary's buckets."""
+    """A batch function: passages to the task's part of A'AQ, in blocks of ``ROWS`` rows. Rows stand for the vocabulary's buckets."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, place, basis = sent.value
-        basis = np.vstack([basis, np.zeros((1, basis.shape[1]), basis.dtype)])  # the last row: no word of the vocabulary
-        weights = np.append(weights, np.float32(0))
-        total = np.zeros_like(basis)
+        weights, basis = sent.value
+        total = np.zeros(basis.shape)
         for batch in batches:
-            rows = place[batch.column("buckets").flatten().to_numpy().reshape(-1, PASSAGE)]
-            each = np.sqrt(batch.column("weight").to_numpy())[:, None].astype(np.float32)
-            for at in range(0, len(rows), 1000):
-                part = rows[at:at + 1000]
+            lists = batch.column("rows")
+            rows, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+            offsets, each = offsets - offsets[0], np.sqrt(batch.column("weight").to_numpy()).astype(np.float32)
+            for low in range(0, len(each), 4096):
+                high = min(low + 4096, len(each))
+                part, first = rows[offsets[low]:offsets[high]], offsets[low:high] - offsets[low]
+                owner = np.repeat(np.arange(high - low), np.diff(offsets[low:high + 1]))
                 weight = weights[part]
-                weight *= each[at:at + 1000] / (np.sqrt((weight**2).sum(axis=1, keepdims=True)) + 1e-9)
-                image = np.einsum("ij,ijk->ik", weight, basis[part])
-                order = np.argsort(part, axis=None, kind="stable")
-                ids, first = np.unique(part.ravel()[order], return_index=True)
-                total[ids] += np.add.reduceat((weight[:, :, None] * image[:, None, :]).reshape(-1, basis.shape[1])[order], first, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([total[:-1].tobytes()], pa.binary())], names=["part"])
+                weight *= (each[low:high] / (np.sqrt(np.add.reduceat(weight**2, first)) + 1e-9))[owner]
+                image = np.add.reduceat(weight[:, None] * basis[part], first, axis=0)
+                order = np.argsort(part, kind="stable")
+                ids, at = np.unique(part[order], return_index=True)
+                total[ids] += np.add.reduceat((weight[:, None] * image[owner])[order], at, axis=0)
+        task = TaskContext.get().partitionId()
+        blocks = [b for b in range(0, len(total), ROWS) if total[b:b + ROWS].any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(blocks, pa.int32()), pa.array([task] * len(blocks), pa.int32()), pa.array([total[b:b + ROWS].tobytes() for b in blocks], pa.binary())],
+            names=["block", "task", "part"])
 
     return step
 
 
-def latent_table(docs: DataFrame, items: DataFrame, n_items: int, weights: np.ndarray, key: str, text: str, sample_docs: int,
-                 sample_passages: int, tasks: int = 8, steps: int = 2, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def _summed(parts: pa.Table) -> pa.Table:
+    """The parts of one block, added in the order of their tasks."""
+    whole = sum(np.frombuffer(p.as_py()) for p in parts.sort_by("task")["part"])
+    return pa.table({"block": pa.array([parts["block"][0].as_py()], pa.int32()), "part": pa.array([whole.tobytes()], pa.binary())})
+
+
+def latent_table(docs: DataFrame, items: DataFrame, n_items: int, weights: np.ndarray, text: str, steps: int = 2, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """(place of a bucket in the table or -1, table of the words' latent vectors, weight included)."""
     context = docs.sparkSession.sparkContext
     live = np.flatnonzero(weights)
-    place = np.full(BUCKETS + 1, -1, np.int32)  # bucket -1, the last, is none
+    place = np.full(BUCKETS, -1, np.int32)
     place[live] = np.arange(len(live))
-    chosen = saved(docs.where(F.length(filled(text)) > 0).select(key).orderBy(F.xxhash64(key), key).limit(sample_docs).distinct(), "sample")
-    part = docs.join(F.broadcast(chosen), key).select(filled(text).alias("text"))  # at most sample_docs rows
-    share = n_items / (sample_docs * sample_passages)  # the sample weighs as much as the items
-    schema = "buckets array<int>, weight double"
-    passages = part.mapInArrow(_passages(sample_passages, share), schema).unionByName(items.mapInArrow(_passages(1 << 20, 1.0), schema))
-    passages = saved(passages.repartition(tasks), "passages")
+    corpus = saved(passages(docs, place, text), "passages")
+    share = n_items / max(1, corpus.count())  # the corpus weighs as much as the items
+    every = corpus.withColumn("weight", F.lit(float(share))).unionByName(saved(passages(items, place), "passages").withColumn("weight", F.lit(1.0)))
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(live), min(RANK, len(live)))))[0].astype(np.float32)
     for left in range(steps, -1, -1):
-        sent = context.broadcast((weights[live], place, basis))
-        parts = passages.mapInArrow(_power_step(sent), "part binary").toArrow()["part"]  # one row per task
-        image = sum(np.frombuffer(p.as_py(), np.float32).reshape(basis.shape).astype(np.float64) for p in parts)
+        sent = context.broadcast((weights[live], basis))
+        parts = every.mapInArrow(_power_step(sent), "block int, task int, part binary")
+        image = np.zeros(basis.shape)
+        for row in parts.groupBy("block").applyInArrow(_summed, "block int, part binary").toArrow().to_pylist():  # the table once, whatever the tasks
+            image[row["block"]:row["block"] + ROWS] = np.frombuffer(row["part"]).reshape(-1, basis.shape[1])
         if left:
             basis = np.linalg.qr(image)[0].astype(np.float32)
     _, turn = np.linalg.eigh(basis.T.astype(np.float64) @ image)
@@ -307,7 +323,7 @@ def _finder(sent, key: str, cosine: float, shared: float, paraphrased: float, an
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", cosine: float = 0.45, shared: float = 0.8,
-          paraphrased: float = 0.6, anchored: float = 0.15, common: float = 0.02, sample_docs: int = 1000, sample_passages: int = 16, block_items: int = 20_000) -> DataFrame:
+          paraphrased: float = 0.6, anchored: float = 0.15, common: float = 0.02, block_items: int = 20_000) -> DataFrame:
     """Per document and item found in it: key, item_id, shared (of the item), answer, cosine, first_word, n_words."""
     spark = docs.sparkSession
     items = saved(benchmark.select("item_id", filled("text").alias("text")).where(F.length(F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     "))) > 0), "items")
@@ -324,7 +340,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         if not len(rows):
             continue
         texts = rows["text"].to_pylist()
-        place, table_ = latent_table(docs, block.select("text"), len(rows), item_weights(texts, idf, common), key, text, sample_docs, sample_passages)
+        place, table_ = latent_table(docs, block.select("text"), len(rows), item_weights(texts, idf, common), text)
         sent = spark.sparkContext.broadcast((place, table_, Items(rows["item_id"].to_pylist(), texts, place, table_)))
         found.append(docs.select(key, filled(text).alias("text")).mapInArrow(_finder(sent, key, cosine, shared, paraphrased, anchored), schema))
     every = found[0]

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,21 @@ def test_longest_common_subsequence():
         assert dc.longest_common(a, b) == plain(a, b)
 
 
+def test_latent_basis_is_fitted_on_every_passage(spark):
+    # more documents, and more passages in one, than any sample of the index once took
+    texts = [prose(i, 40 + i % 50) for i in range(1100)] + [prose(5000, 3000), None, "", "none of them"]
+    weights = dc.item_weights([prose(9000 + i, 12) for i in range(40)], np.ones(dc.BUCKETS, np.float32), 1e-9)
+    place = np.where(weights > 0, np.cumsum(weights > 0) - 1, -1).astype(np.int32)
+    bucket = {w: int(dc._buckets(dc.W.split([w], lower=True).hashes())[0]) for t in texts for w in (t or "").lower().split()}
+    cut = [(t or "").lower().split()[a:a + dc.PASSAGE] for t in texts for a in range(0, len((t or "").split()), dc.PASSAGE)]
+    want = sorted(rows for p in cut if (rows := [int(place[bucket[w]]) for w in p if place[bucket[w]] >= 0]))
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert sorted(r.rows for r in dc.passages(frame, place).collect()) == want
+    items = spark.createDataFrame([(prose(9000 + i, 12),) for i in range(40)], "text string")
+    where, table = dc.latent_table(frame, items, 40, weights, "text")
+    assert (where == place).all() and table.shape == (int((weights > 0).sum()), dc.RANK)
+
+
 def leak_cases():
     items = [(i, prose(100 + i, 16 + i * 3)) for i in range(15)] + [(20, prose(200, 30) + ". The answer: " + prose(201, 5) + "."), (21, None), (22, " "), (23, "one")]
     docs, want = [], set()
