@@ -117,6 +117,28 @@ def tokenizer():
     return path, Tokenizer.from_file(path)
 
 
+def test_pieces_are_counted_once_and_as_whole_texts(tokenizer):
+    import random
+
+    path, encoder = tokenizer
+    r = random.Random(1)
+    parts = ["a", "B", "é", "中", "1", "２", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\u200b", "\x1c", "\x85", "'s", "'ll", "'", "<|endoftext|>", "!", "_", "😀", "e\u0301", "\r\n", " \n ", "\x00"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(40))) for _ in range(5000)] + ["word " * 5000]
+    asked = []
+
+    class Watched:
+        def __getattr__(self, name):
+            def call(texts, **options):
+                asked.extend([texts] if isinstance(texts, str) else texts)
+                return getattr(encoder, name)(texts, **options)
+            return call
+
+    assert tc.splits_at_spaces(path)
+    count = tc.PieceCounts(Watched(), most=2000, beside=50)
+    assert [n for i in range(0, len(texts), 500) for n in count(texts[i:i + 500])] == [len(e) for e in encoder.encode_batch_fast(texts, add_special_tokens=False)]
+    assert sum(t.count("word") for t in asked) <= 2  # not 5,000 times
+
+
 def test_token_counts_and_cache(spark, odd_docs, no_docs, tokenizer, tmp_path):
     path, encoder = tokenizer
     docs = odd_docs.unionByName(odd_docs.limit(1).withColumn("text", F.lit("a<|endoftext|>b  <|im_end|>")))
