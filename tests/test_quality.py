@@ -69,3 +69,15 @@ def test_masks(spark, people, rows):
     assert q.policy_view(people, readers.limit(0), "team", masks, members, "analysts").count() == 0
     masked = seen.where("user = 'bob'")
     assert ("****com" in {r[1] for r in rows(masked)}) and ("bad" in {r[1] for r in rows(masked)})
+
+
+def test_pairs_of_one_group_are_spread_over_tasks(spark, rows):
+    readers = spark.range(60).select(F.concat(F.lit("r"), "id").alias("user"), F.lit(1).alias("team"))
+    members = readers.where("user < 'r3'").select("user", F.lit("staff").alias("group"))
+    table = spark.range(500).select("id", F.concat(F.lit("name"), "id").alias("name"), F.lit(1).alias("team"))
+    seen = q.policy_view(table, readers, "team", {"name": F.lit("?")}, members, "staff", "id % 5 = 0", pairs_per_task=500)
+    sizes = seen.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) > 10 and max(r["count"] for r in sizes) < 5000
+    inside = {r.user for r in members.collect()}
+    want = [(1, i, f"name{i}" if f"r{u}" in inside else "?", f"r{u}") for i in range(500) for u in range(60) if f"r{u}" in inside or i % 5 == 0]
+    assert sorted(rows(seen)) == sorted(want)
