@@ -70,12 +70,13 @@ def with_z_order(df: DataFrame, columns: list[str], bits: int = 6, name: str = "
 
 
 def optimize(
-    df: DataFrame, path: str, columns: list[str], files: int | None = None, rows_per_file: int = 5_000_000
+    df: DataFrame, path: str, columns: list[str], files: int | None = None, rows_per_file: int = 1_000_000
 ) -> None:
     """Rewrite a table clustered on the columns, in ``files`` files or by rows per file.
 
     Range partitioning on the z-value and the scan position: rows with equal
     values can still be split over files, so a hot value does not fill one task.
+    A task sorts the rows of one file, so ``rows_per_file`` bounds its memory.
     """
     if files is None:
         files = max(1, -(-df.count() // rows_per_file))

@@ -206,3 +206,10 @@ def test_plain_join_of_an_aggregate_would_not_split(spark, hot_table):
     entities = hot_table.groupBy("k").agg(F.max("v").alias("top"))
     assert "skew=true" not in _final_plan(hot_table.join(entities, "k", "left"))
     assert "skew=true" in _final_plan(hot_table.join(placed_anew(entities, ["k"]), "k", "left"))
+
+
+def test_a_task_of_the_clustering_job_sorts_a_million_rows_at_most_or_so(spark, tmp_path):
+    out = str(tmp_path / "by_rows")
+    optimize(spark.range(2_100_000).selectExpr("id % 1000 AS k"), out, ["k"])
+    sizes = spark.read.parquet(out).groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(sizes) == 3 and max(r["count"] for r in sizes) < 1_500_000
