@@ -57,17 +57,25 @@ def confusion(predictions: DataFrame, label: str) -> DataFrame:
 def search(
     train: DataFrame, pipeline: Pipeline, label: str, depths: list[int], bins: list[int], parallelism: int = 4
 ) -> TrainValidationSplitModel:
-    """Fit each setting of the tree on one split and keep the best."""
-    tree = pipeline.getStages()[-1]
+    """Fit each setting of the tree on one split and keep the best.
+
+    The stages before the tree don't depend on its settings: they are fitted once, and every fit of the tree
+    reads the feature vectors they gave.
+    """
+    *features, tree = pipeline.getStages()
+    prepared = Pipeline(stages=features).fit(train)
+    vectors = prepared.transform(train).select(tree.getFeaturesCol(), label)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, depths).addGrid(tree.maxBins, bins).build()
-    return TrainValidationSplit(
-        estimator=pipeline,
+    found = TrainValidationSplit(
+        estimator=tree,
         estimatorParamMaps=grid,
         evaluator=MulticlassClassificationEvaluator(labelCol=label),
         trainRatio=0.8,
         seed=42,
         parallelism=parallelism,
-    ).fit(train)
+    ).fit(vectors)
+    found.bestModel = PipelineModel([*prepared.stages, found.bestModel])
+    return found
 
 
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:

@@ -50,3 +50,10 @@ def test_search_keeps_the_best(labelled):
     assert len(found.validationMetrics) == 2
     best = found.bestModel.stages[-1]
     assert best.getMaxDepth() == (1, 6)[max(range(2), key=lambda i: found.validationMetrics[i])]
+
+
+def test_search_fits_the_features_once(labelled, monkeypatch):
+    fits, fit = [], ml.StringIndexer.fit
+    monkeypatch.setattr(ml.StringIndexer, "fit", lambda *a, **k: fits.append(1) or fit(*a, **k))
+    found = ml.search(labelled, ml.tree_stages(["kind"], ["n"], "label", max_bins=64), "label", [1, 6], [64])
+    assert len(fits) == 1 and found.bestModel.transform(labelled).where("prediction = label").count() == 400
