@@ -59,8 +59,8 @@ def search(
 ) -> TrainValidationSplitModel:
     """Fit each setting of the tree on one split and keep the best.
 
-    The stages before the tree don't depend on its settings: they are fitted once, and every fit of the tree
-    reads the feature vectors they gave.
+    The stages before the tree don't depend on its settings: they are fitted once, on all of ``train`` (the part kept
+    for validation included), and every fit of the tree reads the feature vectors they gave.
     """
     *features, tree = pipeline.getStages()
     prepared = Pipeline(stages=features).fit(train)
