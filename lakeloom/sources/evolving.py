@@ -37,14 +37,25 @@ def _note(spark: SparkSession, out: str, version: int, schema: T.StructType) ->
     row.coalesce(1).write.mode("append").json(f"{out}/_schemas")
 
 
+def rescued_entries(rows: DataFrame) -> DataFrame:
+    """Name and text of what ``_rescued_data`` holds, broken lines and nulls apart.
+
+    Nothing is asked of ``_rescued_data`` before it is taken apart: Spark would push that down to the scan, where a line is parsed
+    again for each field and key. From the outer form it infers no such condition.
+    """
+    entries = rows.select(F.explode_outer(F.from_json("_rescued_data", "map<string,string>")).alias("name", "text"))
+    return entries.where("name <> '_line' and text is not null")
+
+
 def grown(rows: DataFrame, schema: T.StructType, most: int = MOST_NEW) -> T.StructType:
     """``schema`` with the fields that ``_rescued_data`` names, and with fields widened where all values they left out fit a wider type."""
     known = {f.name: f.dataType.simpleString() for f in schema}
     types = sorted({t for name in known.values() for t in WIDER.get(name, [])} | set(NEW))
-    entries = rows.where("_rescued_data is not null").select(F.explode(F.from_json("_rescued_data", "map<string,string>")).alias("name", "text"))
-    plain = F.col("text").rlike("^(true|false)$")
-    fits = {t: F.col("text").try_cast(t).isNotNull() & (plain if t == "boolean" else F.lit(True)) for t in types}
-    found = entries.where("name <> '_line' and text is not null").groupBy("name").agg(*(F.bool_and(f).alias(f"f{i}") for i, f in enumerate(fits.values())))
+    entries = rescued_entries(rows)
+    # text without a digit is no number and no time, which a cast would find out by an exception
+    plain, digits = F.col("text").rlike("^(true|false)$"), F.col("text").rlike(r"\p{Nd}|(?i:nan|inf)")
+    fits = {t: (plain if t == "boolean" else digits) & F.col("text").try_cast(t).isNotNull() for t in types}
+    found = entries.groupBy("name").agg(*(F.bool_and(f).alias(f"f{i}") for i, f in enumerate(fits.values())))
     new, wider = [], {}
     for row in found.orderBy("name").limit(most).collect():
         takes = {t for i, t in enumerate(fits) if row[f"f{i}"]}

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from lakeloom.sources.delimited import follow_loaded, load_csv, read_loaded, rescue_csv
-from lakeloom.sources.evolving import ingest_evolving, read_evolving, schema_versions
+from lakeloom.sources.evolving import grown, ingest_evolving, read_evolving, rescued_entries, schema_versions
+from lakeloom.sources.ingest import rescue_json
 from lakeloom.streaming.run import run_to_table
 
 SCHEMA = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
@@ -95,3 +96,23 @@ def test_a_line_that_is_no_object_makes_no_field(spark, tmp_path):
     (feed / "1").write_text('broken\n{"a": 1}\n')
     assert ingest_evolving(spark, str(feed), out, "a int").simpleString() == "struct<a:int>"
     assert {(r.a, r._rescued_data) for r in read_evolving(spark, out).collect()} == {(None, '{"_line":"broken"}'), (1, None)}
+
+
+def test_a_line_is_not_parsed_again_for_each_field(spark):
+    lines = spark.range(3).select(F.to_json(F.struct(F.col("id").alias("a"), F.lit("x").alias("new"))).alias("value"))
+    schema = T.StructType.fromDDL("a int, b string, c double, d long")
+    seen = rescue_json(lines, schema)
+    assert [tuple(r) for r in rescued_entries(seen).collect()] == [("new", "x")] * 3
+
+    def parses(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+    assert parses(rescued_entries(seen)) <= parses(seen) + 1
+
+
+@pytest.mark.parametrize("texts, kind", [
+    (["1", "22"], "bigint"), (["1", "2.5", "NaN", "-Infinity", "1e3"], "double"), (["NaN"], "double"), (["1", "view"], "string"),
+    (["true", "false"], "boolean"), (["true", "1"], "string"), (["2024-01-01", "2024-01-02 03:04:05"], "timestamp"), ([""], "string"), (["y"], "string")])
+def test_first_type_that_takes_all_values(spark, texts, kind):
+    rows = spark.createDataFrame([(json.dumps({"n": t}),) for t in texts], "_rescued_data string")
+    assert grown(rows, T.StructType.fromDDL("a int"))["n"].dataType.simpleString() == kind
