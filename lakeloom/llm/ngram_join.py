@@ -22,7 +22,9 @@ Every filter follows from the bound, so none loses a link:
 Each pair is then verified once on the sets, with a node of many partners dealt out.
 A group of near copies costs its size and not its pairs: first the nodes of a list are
 compared with the one that has the fewest shingles of its own, which most copies are
-closest to; then only nodes that were linked with different ones meet.
+closest to; then only nodes that were linked with different ones meet. Groups that
+another index has found (``classes``) go first: their nodes are compared with one of
+them, and those it links aren't compared with one another.
 """
 
 from __future__ import annotations
@@ -167,19 +169,46 @@ def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(roots, F.col("node") == F.col("linked"), "left").select(*nodes.columns, F.coalesce("root", "node").alias("root"))
 
 
-def links_of(index: DataFrame, sets: DataFrame, part: int, of: int) -> DataFrame:
-    """Links (a, b) between nodes, enough for all components. ``index``: what ``prefixes`` gives, saved."""
+def confirmed(classes: DataFrame, index: DataFrame, sets: DataFrame, part: int, of: int) -> DataFrame:
+    """Links (a, b, ``alone`` of a) that hold between the nodes of a class (node, class) and the one with the fewest shingles of its own.
+
+    A node that isn't in the index has no partner.
+    """
+    members = classes.join(index.select("node", "alone").distinct(), "node")
+    centres = members.groupBy("class").agg(F.min(F.struct("alone", "node")).alias("c"))
+    pairs = members.select("node", "class").join(placed_anew(centres, ["class"]), "class").where("node <> c.node")
+    pairs = pairs.select(F.col("c.node").alias("a"), F.col("node").alias("b"), F.col("c.alone").alias("alone")).distinct()
+    return saved(verified(pairs, sets, part, of), "confirmed")
+
+
+def _centres(links: DataFrame) -> DataFrame:
+    """Per linked node the best centre it is linked with."""
+    return links.groupBy("b").agg(F.min(F.struct("alone", "a")).alias("best")).select(F.col("b").alias("node"), F.col("best.a").alias("centre"))
+
+
+def _apart(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes don't go by one centre."""
+    columns = pairs.columns
+    for end in ("a", "b"):
+        pairs = pairs.join(named.select(F.col("node").alias(end), F.col("centre").alias(f"{end}_centre")), end, "left")
+    return pairs.where("coalesce(a_centre, a) <> coalesce(b_centre, b)").select(*columns)
+
+
+def links_of(index: DataFrame, sets: DataFrame, part: int, of: int, known: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) between nodes, enough for all components. ``index``: what ``prefixes`` gives, saved; ``known``: what ``confirmed`` gives."""
     entry = F.struct("alone", "node", "n", "left", *_SIGNS)
     centres = index.groupBy("shingle", "size_class").agg(F.min(entry).alias("c")).select("shingle", "size_class", "c.*")
     met = index.alias("b").join(
         placed_anew(centres, ["shingle", "size_class"]).alias("a"),
         (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.size_class") == F.col("b.size_class")) & (F.col("a.node") != F.col("b.node")) & _may_link("a", "b", part, of))
-    first = saved(met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.alone").alias("alone")).distinct(), "pairs")
+    first = met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.alone").alias("alone")).distinct()
+    first = saved(first if known is None else _apart(first, _centres(known)), "pairs")
     links = saved(verified(first, sets, part, of), "similar")
+    if known is not None:
+        first, links = first.unionByName(known), links.unionByName(known)
 
     # a node goes by the best centre it is linked with; parts of one component that go by two names only meet again
-    named = links.groupBy("b").agg(F.min(F.struct("alone", "a")).alias("best")).select(F.col("b").alias("node"), F.col("best.a").alias("centre"))
-    parted = index.join(placed_anew(named, ["node"]), "node", "left").withColumn("name", F.coalesce("centre", "node")).drop("centre")
+    parted = index.join(placed_anew(_centres(links), ["node"]), "node", "left").withColumn("name", F.coalesce("centre", "node")).drop("centre")
     torn = parted.groupBy("shingle").agg(F.min("name").alias("least"), F.max("name").alias("most")).where("least <> most").select("shingle")
     parted = saved(parted.join(placed_anew(torn, ["shingle"]), "shingle", "left_semi"), "parted")
     larger = parted.withColumn("size_class", F.explode(F.array(F.col("size_class"), F.col("size_class") - 1)))
@@ -194,10 +223,11 @@ def links_of(index: DataFrame, sets: DataFrame, part: int, of: int) -> DataFrame
     return saved(links.select("a", "b").unionByName(verified(pairs, sets, part, of)), "similar")
 
 
-def similar_rows(rows: DataFrame, key: str, text: str, size: int, part: int, of: int) -> DataFrame:
+def similar_rows(rows: DataFrame, key: str, text: str, size: int, part: int, of: int, classes: DataFrame | None = None) -> DataFrame:
     """Per row that ``whole`` gave: place, ``_key``, ``n`` (size of its set), ``node`` and ``root``, the same for all rows of one component.
 
-    Rows without words share the node of the empty set.
+    Rows without words share the node of the empty set. ``classes`` (place, ``class``): groups of rows another
+    index has found; what holds of them is taken, what they lack is found all the same.
     """
     texts = rows.select("_path", "_row", F.col(f"_all.`{key}`").alias("_key"), F.col(f"_all.`{text}`").alias("_text"))
     kind = texts.schema["_key"].dataType.simpleString()
@@ -208,7 +238,10 @@ def similar_rows(rows: DataFrame, key: str, text: str, size: int, part: int, of:
     signs = ", ".join(f"{s} long" for s in _SIGNS)
     sets = saved(held.select("node", "_text").mapInArrow(_whole_sets(size), f"node long, n int, {signs}, shingles array<long>"), "sets")
     index = saved(prefixes(sets, part, of), "prefixes")
-    return rooted(prints.select("_path", "_row", "_key", "node", "n"), links_of(index, sets, part, of))
+    known = None
+    if classes is not None:
+        known = confirmed(prints.select("_path", "_row", "node").join(classes, ["_path", "_row"]).select("node", "class").distinct(), index, sets, part, of)
+    return rooted(prints.select("_path", "_row", "_key", "node", "n"), links_of(index, sets, part, of, known))
 
 
 def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4, part: int = 85, of: int = 100) -> DataFrame:

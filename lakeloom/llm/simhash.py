@@ -29,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
 from lakeloom.llm.common import WORD, ascii_lower, fields, filled, located, query, saved, table, whole
@@ -57,10 +57,14 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-@F.pandas_udf(LongType())
-def fingerprints(texts: pd.Series) -> pd.Series:
+def fingerprints(text: Column, shingle: int) -> Column:
     """Fingerprints, their 64 bits read as a signed number."""
-    return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
+
+    @F.pandas_udf(LongType())
+    def prints(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
+
+    return prints(text)
 
 
 def index_entries(prints: DataFrame, bits: int) -> DataFrame:
@@ -121,9 +125,9 @@ def fingerprint_links(prints: DataFrame, bits: int = 2) -> DataFrame:
     return lists.select("members").mapInArrow(linked(bits), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = 2, shingle: int = 3) -> DataFrame:
     """Per row of ``docs``: key, ``fingerprint``, ``component_id`` and its place."""
-    rows = saved(located(docs.select(key, text)).select("_path", "_row", key, fingerprints(ascii_lower(filled(text))).alias("fp")), "prints")
+    rows = saved(located(docs.select(key, text)).select("_path", "_row", key, fingerprints(ascii_lower(filled(text)), shingle).alias("fp")), "prints")
     classes = saved(rows.groupBy("fp").agg(F.min(key).alias("first")), "classes")
     roots = components(fingerprint_links(classes.select("fp"), bits))
     member = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 from conftest import prose
 from conftest_words import groups_of
-from lakeloom.llm.common import table
+from lakeloom.llm import near_copies, ngram_join
+from lakeloom.llm.common import located, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -64,3 +65,31 @@ def test_stage_against_brute_force_around_the_bound(spark):
     assert {r.doc_id for r in P.near_dedup(spark, frame, SF).collect()} == want
     assert P.near_dedup(spark, frame.limit(0), SF).count() == 0
 
+
+
+def test_fingerprint_index_comes_first(spark, monkeypatch):
+    base, texts = prose(900, 2000).split(), {}
+    for c in range(40):  # one word of two thousand apart
+        texts[c] = " ".join([*base[:40 * c], f"w{c}", *base[40 * c + 1:]])
+    texts |= {100 + c: " ".join([f"v{c}", *base[:400 + c]]) for c in range(5)}
+    want, _ = brute_kept(texts)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    counted = []
+
+    def spy(pairs, *args):
+        links = plain(pairs, *args)
+        counted.append((pairs.count(), links.count()))
+        return links
+
+    plain = ngram_join.verified
+    monkeypatch.setattr(ngram_join, "verified", spy)
+    assert {r.doc_id for r in P.near_dedup(spark, frame, SF).collect()} == want
+    (tried, held), (rest, _), _ = counted
+    assert tried >= held > 20 and rest < 20  # what the index brought together isn't tried again
+
+
+def test_a_class_is_no_link(spark, monkeypatch):
+    texts = {1: prose(1, 80), 2: prose(2, 80), 3: prose(1, 80) + " end", 4: prose(2, 80) + " end"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(near_copies, "near_duplicates", lambda docs, *args: located(docs).withColumn("component_id", F.lit(1)))
+    assert {r.doc_id for r in P.near_dedup(spark, frame, SF).collect()} == {1, 2}
