@@ -16,14 +16,17 @@ def pack_rows(
     data, and rows are dealt to them by a hash of their fields and their place
     in the scan, so that copies spread too. The number of the key's rows goes
     along as ``n_<name>``: what is said of a key must come from there, since a
-    pack may hold a part of it only.
+    pack may hold a part of it only. Rows that lack a key are left out.
+
+    Only keys of more than one pack need the join. Where there are none AQE drops it,
+    and each row is moved and sorted once; a merge join, so that AQE can split a hot key.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n_{name}"))
-    dealt = df.withColumn("_at", F.xxhash64(*fields, F.monotonically_increasing_id()))
-    packs = F.ceil(F.col(f"n_{name}") / max_items)
-    placed = dealt.join(placed_anew(counts, keys), keys).withColumn("pack", F.pmod("_at", packs))
-    return placed.groupBy(*keys, "pack").agg(
-        F.any_value(f"n_{name}").alias(f"n_{name}"), F.array_sort(F.collect_list(F.struct(*fields))).alias(name)
+    total, kept = f"n_{name}", df.dropna(subset=keys)
+    large = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias(total)).where(F.col(total) > max_items)
+    placed = kept.withColumn("_at", F.monotonically_increasing_id()).join(placed_anew(large, keys).hint("merge"), keys, "left")
+    pack = F.coalesce(F.pmod(F.xxhash64(*fields, "_at"), F.ceil(F.col(total) / max_items)), F.lit(0))
+    return placed.withColumn("pack", pack).groupBy(*keys, "pack").agg(
+        F.coalesce(F.any_value(total), F.count(F.lit(1))).alias(total), F.sort_array(F.collect_list(F.struct(*fields))).alias(name)
     )
 
 

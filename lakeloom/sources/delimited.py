@@ -40,12 +40,14 @@ def rescue_csv(lines: DataFrame, schema: T.StructType, header: str = "_header",
     fields the schema lacks, fields whose text does not convert, cells beyond the
     header (``_extra_5``: the fifth cell), the names of the cells a short line
     lacks (``_missing``), and, under ``_line``, a whole line whose quotes don't
-    match or whose file's header isn't known. An empty cell is null, an empty pair
+    match or whose file's header isn't known. The header's names are taken from
+    ``_named`` where ``with_headers`` has found them, once for each file. An empty cell is null, an empty pair
     of quotes is empty text. A line is a record: quoted line breaks aren't read.
     """
-    raw = lines.withColumn("_raw", _cells(F.col(column), sep)).withColumn("_named", _names(F.col(header), sep))
-    length = F.aggregate("_raw", F.lit(0), lambda total, c: total + F.length(c) + len(sep))
-    whole = F.col(header).isNotNull() & (length == F.length(column) + len(sep))
+    raw = lines.withColumn("_raw", _cells(F.col(column), sep))
+    if "_named" not in lines.columns:
+        raw = raw.withColumn("_named", _names(F.col(header), sep))
+    whole = F.col(header).isNotNull() & (F.length(F.array_join("_raw", sep)) == F.length(column))
     raw = raw.withColumn("_whole", F.coalesce(whole, F.lit(False))).withColumn("_cell", F.transform("_raw", _plain))
 
     def cell(name: str) -> Column:
@@ -65,13 +67,18 @@ def rescue_csv(lines: DataFrame, schema: T.StructType, header: str = "_header",
     lacking = F.slice("_named", F.size("_cell") + 1, F.greatest(F.size("_named") - F.size("_cell"), F.lit(0)))
     short = F.when(F.size("_cell") < F.size("_named"), F.array(F.struct(F.lit(MISSING).alias("name"), F.concat_ws(sep, lacking).alias("text"))))
     kept = F.concat(F.filter(entries, left_over), F.coalesce(short, F.array().cast("array<struct<name: string, text: string>>")))
-    rescued = F.when(~F.col("_whole"), F.to_json(F.create_map(F.lit(LINE), F.col(column)))).when(F.size(kept) > 0, F.to_json(F.map_from_entries(kept)))
-    others = [c for c in lines.columns if c not in (column, header)]
+    # each field has a cell of its own, so where as many of both hold something nothing is left over
+    held = sum((F.col("_row")[f.name].isNotNull().cast("int") for f in schema), F.lit(0))
+    plain = (F.size("_cell") == F.size("_named")) & (F.size(F.array_compact("_cell")) == held)
+    rescued = F.when(~F.col("_whole"), F.to_json(F.create_map(F.lit(LINE), F.col(column)))).when(
+        ~plain & (F.size(kept) > 0), F.to_json(F.map_from_entries(kept))
+    )
+    others = [c for c in lines.columns if c not in (column, header, "_named")]
     return parsed.select(*others, "_row.*", rescued.alias("_rescued_data"))
 
 
-def with_headers(lines: DataFrame, column: str = "value", file: str = "source_file", start: str = "_start") -> DataFrame:
-    """Lines of files (with the path and the start of the block each comes from) less headers and blank lines, plus ``_header``.
+def with_headers(lines: DataFrame, column: str = "value", file: str = "source_file", start: str = "_start", sep: str = ",") -> DataFrame:
+    """Lines of files (with the path and the start of the block each comes from) less headers and blank lines, plus ``_header`` and its names, ``_named``.
 
     A file's header is the first line of its first block. It takes a pass over the
     lines, of which one row for each file is left. Those go to the lines and not the
@@ -80,9 +87,10 @@ def with_headers(lines: DataFrame, column: str = "value", file: str = "source_fi
     """
     placed = lines.withColumn("_at", F.monotonically_increasing_id())
     first = placed.groupBy(F.col(file).alias("_file")).agg(F.min(F.when(F.col(start) == 0, F.struct("_at", column))).alias("_first"))
+    first = first.withColumn("_named", _names(F.col("_first")[column], sep))
     met = placed.join(F.broadcast(first), F.col(file) == F.col("_file"), "left")
     data = F.col("_first").isNull() | (F.col("_at") != F.col("_first._at"))
-    return met.where(data & (F.col(column) != "")).select(*(c for c in lines.columns if c != start), F.col("_first")[column].alias("_header"))
+    return met.where(data & (F.col(column) != "")).select(*(c for c in lines.columns if c != start), F.col("_first")[column].alias("_header"), "_named")
 
 
 def load_csv(
@@ -102,7 +110,7 @@ def load_csv(
                 return
         except AnalysisException:  # not written yet
             pass
-        rescue_csv(with_headers(batch), kind, sep=sep).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        rescue_csv(with_headers(batch, sep=sep), kind, sep=sep).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
         batch.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("batch")).coalesce(1).write.mode("overwrite").parquet(note)
 
     lines = with_provenance(file_stream(spark, path, "text", "value string").select("*", F.col("_metadata.file_block_start").alias("_start")))

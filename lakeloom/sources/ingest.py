@@ -65,20 +65,20 @@ def rescue_json(lines: DataFrame, schema: T.StructType, column: str = "value") -
     and, under ``_line``, a line that is no JSON object at all.
     """
     parsed = lines.withColumn("_row", F.from_json(column, schema)).withColumn("_keys", F.json_object_keys(column))
-    # a line whose every field is there and no other needs no second look
-    plain = (F.size("_keys") == len(schema)) & F.forall(F.array(*(F.col("_row")[f.name].isNotNull() for f in schema)), lambda known: known)
-    parsed = parsed.withColumn("_raw", F.when(~F.coalesce(plain, F.lit(False)), F.from_json(column, "map<string,string>")))
-    known = F.array(*[F.lit(f.name) for f in schema])
-    extra = F.map_filter("_raw", lambda k, v: ~F.array_contains(known, k))
-    unconverted = F.map_filter(
-        "_raw",
-        lambda k, v: v.isNotNull() & _any_of([(k == f.name) & F.col("_row")[f.name].isNull() for f in schema]),
-    )
-    leftover = F.map_concat(extra, unconverted)
+    held = F.array_compact(F.array(*(F.when(F.col("_row")[f.name].isNotNull(), F.lit(f.name)) for f in schema)))
+    parsed = parsed.withColumn("_held", held)
+    # a line whose every field is held needs no second look
+    plain = F.coalesce(F.size(F.array_except("_keys", "_held")) == 0, F.lit(False))
+    parsed = parsed.withColumn("_plain", plain).withColumn("_raw", F.when(~F.col("_plain"), F.from_json(column, "map<string,string>")))
+    known = F.array(*(F.lit(f.name) for f in schema))
+    # made in a step of its own, or each of its uses below would make it again
+    parsed = parsed.withColumn("_left", F.map_filter(
+        "_raw", lambda k, v: ~F.array_contains("_held", k) & (v.isNotNull() | ~F.array_contains(known, k))
+    ))
     rescued = F.when(
-        F.col("_raw").isNull() & ~F.coalesce(plain, F.lit(False)) & F.col(column).isNotNull(),
+        F.col("_raw").isNull() & ~F.col("_plain") & F.col(column).isNotNull(),
         F.to_json(F.create_map(F.lit("_line"), F.col(column))),
-    ).when(F.size(leftover) > 0, F.to_json(leftover))
+    ).when(F.size("_left") > 0, F.to_json("_left"))
     others = [c for c in lines.columns if c != column]
     return parsed.select(*others, "_row.*", rescued.alias("_rescued_data"))
 
@@ -100,13 +100,6 @@ def parsed_rows(raw: DataFrame) -> DataFrame:
     return raw.where(whole).drop("_rescued_data", "source_file", "processing_time")
 
 
-def _any_of(tests):
-    result = tests[0]
-    for t in tests[1:]:
-        result = result | t
-    return result
-
-
 def load_new_files(
     spark: SparkSession, source: str, fmt: str, schema, target: str, checkpoint: str, **options
 ) -> int:

@@ -39,17 +39,24 @@ def timed(events):
     return events.withColumn("event_time", F.timestamp_micros("time_us"))
 
 
-def arrivals(spark, df, first, step, fmt="json", odd=False, **options):
+def arrivals(spark, df, first, step, fmt="json", odd=False, once=False, **options):
     """Write the rows in two arrivals and call ``step(folder)`` after each; the last result.
 
     With ``odd`` the second arrival also has a field no schema knows and a line that is no JSON.
+    With ``once`` the rows, which are costly to make, are made once, as JSON lines, and each arrival takes its own.
     """
     folder = scratch_dir(spark, "feed")
     result = None
+    if once:
+        made, early = scratch_dir(spark, "lines"), F.coalesce(F.expr(first), F.lit(False))
+        late = [F.when(~early, "kept").alias("unheard_of")] if odd else []
+        df.select(early.alias("early"), F.to_json(F.struct("*", *late)).alias("value")).write.parquet(made)
+        df, first, fmt = spark.read.parquet(made), "early", "text"
     for k, part in enumerate((df.where(first), df.where(f"NOT coalesce({first}, false)"))):
         if odd and k:
-            part = part.withColumn("unheard_of", F.lit("kept"))
+            part = part if once else part.withColumn("unheard_of", F.lit("kept"))
             spark.createDataFrame([('{"order_id": 1, ',)], "value string").coalesce(1).write.mode("append").text(folder)
+        part = part.select("value") if once else part
         part.write.mode("append").format(fmt).options(**options).save(folder)
         result = step(folder)
     return result

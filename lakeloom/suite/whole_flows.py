@@ -213,7 +213,7 @@ def retail_flow(spark, sf):
     retail_customers(spark, sf).write.option("header", True).csv(people)
     cleaned = arrivals(
         spark, retail_orders(spark, sf), "order_datetime < '883612800'",
-        lambda feed: retail.update(spark, feed, people, out), odd=True,
+        lambda feed: retail.update(spark, feed, people, out), odd=True, once=True,
     )
     return _city_sales(cleaned)
 

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from lakeloom.sources.delimited import follow_loaded, load_csv, read_loaded, rescue_csv
+from lakeloom.sources.delimited import follow_loaded, load_csv, read_loaded, rescue_csv, with_headers
 from lakeloom.sources.evolving import grown, ingest_evolving, read_evolving, rescued_entries, schema_versions
 from lakeloom.sources.ingest import rescue_json
 from lakeloom.streaming.run import run_to_table
@@ -38,6 +38,17 @@ def test_rescued_cells(spark, header, line, row, rescued):
     assert (json.loads(got["_rescued_data"]) if got["_rescued_data"] else None) == rescued
 
 
+def test_names_of_a_header_are_found_once_for_each_file(spark, rows):
+    lines = spark.createDataFrame(
+        [("f", 0, "a,b"), ("f", 0, "1,x"), ("f", 9, "one,y"), ("g", 0, "b,a,c"), ("g", 0, "z,2,3")],
+        "source_file string, _start long, value string").coalesce(1)
+    read = rescue_csv(with_headers(lines), SCHEMA)
+    assert rows(read.select("a", "b", "_rescued_data")) == [(1, "x", None), (2, "z", '{"c":"3"}'), (None, "y", '{"a":"one"}')]
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    per_line = plan[:plan.index("Join")]
+    assert per_line.count("regexp_extract_all(") == 1
+
+
 def test_other_separator(spark):
     lines = spark.createDataFrame([("a|b", '1|"x|y"')], "_header string, value string")
     assert tuple(rescue_csv(lines, SCHEMA, sep="|").first())[:2] == (1, "x|y")

@@ -45,6 +45,21 @@ def test_small_keys_stay_in_one_pack(skewed):
     assert packed.count() == packed.select("k").distinct().count()
 
 
+def test_rows_of_small_keys_are_not_joined_with_their_counts(skewed):
+    small = skewed.where("k > 0")
+    packed = pack_rows(small, ["k"], ["v"], "items")
+    assert tuple(packed.agg(F.sum(F.size("items")), F.sum("n_items")).first()) == (small.count(),) * 2
+    packed.collect()
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("Initial Plan")]
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Join" not in final
+
+
+def test_packs_of_rows_without_a_key(spark, rows):
+    df = spark.createDataFrame([(1, 2), (None, 3), (1, None), (1, 1)], "k int, v int")
+    assert rows(pack_rows(df, ["k"], ["v"], "items").select("k", "pack", "n_items", "items.v")) == [(1, 0, 3, [None, 1, 2])]
+
+
 def test_collect_distinct(skewed, rows):
     got = collect_distinct(skewed, ["k"], "v", "vs")
     want = skewed.groupBy("k").agg(F.array_sort(F.collect_set("v")).alias("vs"))

@@ -36,6 +36,14 @@ def test_rescued_data(spark, line, row, rescued):
     assert (json.loads(got["_rescued_data"]) if got["_rescued_data"] else None) == rescued
 
 
+def test_a_line_without_a_field_is_parsed_once_and_one_with_a_name_twice_is_kept(spark):
+    lines = spark.createDataFrame([('{"a": 1}',), ('{"c": 1, "c": 2}',)], "value string")
+    seen = rescue_json(lines, SCHEMA)
+    assert [r[0] for r in seen.select("_rescued_data").collect()] == [None, '{"c":"1","c":"2"}']
+    steps = seen._jdf.queryExecution().optimizedPlan().toString()
+    assert steps.count("map_filter(") <= 1
+
+
 def test_schema_of_ingest(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x.json").write_text('{"a": 1, "t": "5.5"}\n')

@@ -13,6 +13,7 @@ from lakeloom.plans import customers, event_windows, orders, recordings, retail,
 from lakeloom.sources.ingest import file_stream, load_new_files
 from lakeloom.streaming import run
 from lakeloom.streaming.changes import apply_changes_stream, compact_log, current_state
+from lakeloom.suite.streams import arrivals
 
 
 class Feed:
@@ -248,6 +249,26 @@ def test_retail_flow_keeps_orders_without_a_customer(spark, feed, tmp_path, rows
     assert [r[0] for r in rows(kept.select("_rescued_data"))] == ['{"_line":"\\"broken"}', '{"phone":"555","units_purchased":"many"}']
 
 
+def test_arrivals_made_once_hold_the_same_lines(spark, rows):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        made.add(1)
+        return x
+
+    df = spark.range(10).select("id", F.udf(count, "double")(F.when(F.col("id") != 3, F.col("id") * 1.5)).alias("v"))
+
+    def lines(**how):
+        seen = []
+        arrivals(spark, df, "v < 6", lambda folder: seen.append(rows(spark.read.text(folder))), odd=True, **how)
+        return seen
+
+    assert lines(once=True) == lines() and len(lines(once=True)[0]) == 3
+    made.value = 0
+    lines(once=True)
+    assert made.value == 10
+
+
 def test_recordings_flow_reads_its_schema_once(spark, feed, tmp_path, rows):
     people = tmp_path / "people"
     people.mkdir()
