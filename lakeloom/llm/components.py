@@ -2,7 +2,8 @@
 
 Alternating star contraction: in the large step every node hands its larger
 neighbours to the smallest of its neighbourhood, in the small step its smaller
-ones, until nothing changes. The number of turns grows with the logarithm of the
+ones, until all links are stars around their smallest node, which is looked up
+without another turn. The number of turns grows with the logarithm of the
 longest chain. Each turn's links are written to the shared folder.
 """
 
@@ -15,7 +16,7 @@ from lakeloom.operators.joins import placed_anew
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """One step on links (hi, lo), lo < hi."""
+    """One step on links (hi, lo), lo < hi. It gives no more rows than links, but may repeat some."""
     if large:
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             links.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
@@ -28,17 +29,20 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     else:
         moved = joined.where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).unionByName(
             least.where("u <> m").select(F.col("u").alias("hi"), F.col("m").alias("lo")))
-    return moved.where("hi <> lo").distinct()
+    return moved.where("hi <> lo")
+
+
+def _unsettled(links: DataFrame) -> int:
+    """How many nodes have two smaller neighbours, or a smaller and a larger one."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("hi").alias("node"), "lo"), F.struct(F.col("lo").alias("node"), F.lit(None).cast("long").alias("lo")))).alias("end")).select("end.*")
+    seen = ends.groupBy("node").agg(F.min("lo").alias("least"), F.max("lo").alias("most"), F.count("lo").alias("smaller"), F.count(F.lit(1)).alias("all"))
+    return seen.where("least <> most or (smaller > 0 and smaller < all)").count()
 
 
 def components(links: DataFrame) -> DataFrame:
     """Per node that has a link: node, root (the smallest node reachable). ``links``: columns a, b (longs)."""
     now = saved(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct(), "links")
-    mark = None
-    while True:
-        now = saved(_star(_star(now, large=True), large=False), "links")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)"))).first()
-        if seen == mark:
-            return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
-                now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
-        mark = seen
+    while _unsettled(now):
+        now = saved(_star(_star(now, large=True), large=False).distinct(), "links")
+    return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
+        now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())

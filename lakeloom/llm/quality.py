@@ -5,8 +5,8 @@ character) is hashed to a row of a table of vectors; a pair is hashed by the
 difference of its words, so that all pairs of equal words share a row. A text is
 the average of its features' vectors; a linear layer and a softmax over the two labels follow. Both
 are learned by stochastic gradient descent with a step per row that falls with
-the gradients seen (numpy, on the driver), from at most ``sample`` rows of each
-label: those whose key has the smallest hash. The sample is weighted to the label
+the gradients seen (numpy, in one task), from at most ``sample`` rows of each
+label: those whose key has the smallest hash. Only the model, one number a feature, reaches the driver. The sample is weighted to the label
 counts of all training rows. Scoring needs one number per feature, since the
 average and the layer are linear, and runs over every whole text.
 
@@ -104,6 +104,22 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights:
     return vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0])
 
 
+def _fitted(counts: dict[int, int], **options):
+    """A batch function: all rows of ``_bags`` to one row, the model's numbers (as bytes) and its bias."""
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches)
+        bags = [(i.values.to_numpy(), c.values.to_numpy()) for i, c in zip(rows["ids"], rows["counts"])]
+        order = sorted(range(len(bags)), key=lambda i: (len(bags[i][0]), bags[i][0].tobytes(), bags[i][1].tobytes()))  # whatever order rows came in
+        y = rows["label"].to_numpy().astype(int)[order]
+        weight = {v: counts[v] / max(1, (y == v).sum()) for v in (0, 1)}
+        weights = np.array([weight[v] for v in y])
+        numbers, bias = fit([bags[i] for i in order], y, (weights / weights.mean()).astype(np.float32), **options)
+        yield pa.RecordBatch.from_arrays([pa.array([numbers.astype(np.float32).tobytes()], pa.binary()), pa.array([bias])], names=["numbers", "bias"])
+
+    return fitted
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 2000,
           **options) -> tuple[np.ndarray, float]:
     """Learn from ``labels`` (key, label) of rows in ``docs``; at most ``sample`` rows of each label are read as text."""
@@ -116,14 +132,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return np.zeros(1 << BUCKET_BITS, np.float32), float(np.log(share / (1 - share)))
     chosen = [known.where(F.col("label") == v).orderBy(F.xxhash64(key), key).limit(sample) for v in (0, 1)]
     chosen = F.broadcast(saved(chosen[0].unionByName(chosen[1]), "sample"))  # at most 2 * sample rows
-    rows = docs.select(key, filled(text).alias("text")).join(chosen, key).select("label", "text").mapInArrow(
-        _bags, "label int, ids array<int>, counts array<int>").toArrow()
-    bags = [(i.values.to_numpy(), c.values.to_numpy()) for i, c in zip(rows["ids"], rows["counts"])]
-    order = sorted(range(len(bags)), key=lambda i: (len(bags[i][0]), bags[i][0].tobytes(), bags[i][1].tobytes()))  # whatever order rows came in
-    y = rows["label"].to_numpy().astype(int)[order]
-    weight = {v: counts[v] / max(1, (y == v).sum()) for v in (0, 1)}
-    weights = np.array([weight[v] for v in y])
-    return fit([bags[i] for i in order], y, (weights / weights.mean()).astype(np.float32), **options)
+    bags = docs.select(key, filled(text).alias("text")).join(chosen, key).select("label", "text").mapInArrow(
+        _bags, "label int, ids array<int>, counts array<int>")
+    model = bags.repartition(1).mapInArrow(_fitted(counts, **options), "numbers binary, bias double").first()
+    return np.frombuffer(model["numbers"], np.float32), model["bias"]
 
 
 def scores(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text") -> DataFrame:
