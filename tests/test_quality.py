@@ -81,3 +81,29 @@ def test_pairs_of_one_group_are_spread_over_tasks(spark, rows):
     inside = {r.user for r in members.collect()}
     want = [(1, i, f"name{i}" if f"r{u}" in inside else "?", f"r{u}") for i in range(500) for u in range(60) if f"r{u}" in inside or i % 5 == 0]
     assert sorted(rows(seen)) == sorted(want)
+
+
+def _dealt_rows(plan):
+    """Rows that the exchanges of a plan that ran have written."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _dealt_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _dealt_rows(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(_dealt_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_a_large_group_does_not_copy_the_readers_of_others(spark, rows):
+    readers = spark.range(2100).select(F.when(F.col("id") != 7, F.concat(F.lit("r"), "id")).alias("user"), F.when(F.col("id") != 8, F.greatest(F.col("id") - 99, F.lit(0))).alias("team"))
+    members = readers.where("user like '%5'").select("user", F.lit("staff").alias("group"))
+    table = spark.range(900).select("id", F.concat(F.lit("name"), "id").alias("name"), F.greatest(F.col("id") - 499, F.lit(0)).alias("team"))
+    seen = q.policy_view(table, readers, "team", {"name": F.lit("?")}, members, "staff", "id % 5 = 0", pairs_per_task=500)
+    got = rows(seen)
+    want = []
+    for r in readers.collect():
+        inside = (r.user or "").endswith("5")
+        held = [] if r.team is None else range(500) if r.team == 0 else [r.team + 499] if r.team <= 400 else []
+        want += [(r.team, i, f"name{i}" if inside else "?", r.user) for i in held if inside or i % 5 == 0]
+    assert got == sorted(want, key=repr)
+    assert _dealt_rows(seen._jdf.queryExecution().executedPlan()) < 40_000
